@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from motolake.llm import media, mixing, packing
+from motolake.llm import ann, html, language, media, mixing, packing, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_media": media.op3_media,
+    "op4_language": language.op4_language,
+    "op5_html": html.op5_html,
     "op7_mixing": mixing.op7_mixing,
+    "op10_ann": ann.op10_ann,
 }
 
 ORACLE_SQL = {
