@@ -23,46 +23,82 @@ from pyspark.sql import functions as F
 
 from motolake.llm.common import wanted_parts
 
-#: Characters that the tokenizer's word splitter and str.split() may treat differently.
-ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁤　﻿]")
+#: White space and capitals that the tokenizer and Python treat differently, and the marks of special tokens.
+ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u0130\u03a3\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]|<\|")
 
 
 class WordTokenizer:
-    """A word-level cache before a tokenizer that never joins text across white space.
+    """Token ids of texts by way of their words, for a tokenizer that lowers case and never joins text across white space.
 
-    Two generations of at most ``keep`` words each bound its memory.
+    Words are remembered, in two generations of at most ``keep`` each. New words of letters are tokenised
+    many at a time: a word's ids end with the one id that carries the end-of-word mark. A word with one
+    stop or comma behind its letters is its letters and the sign. Whatever else a text holds, if lower
+    case or white space could mean something else to the tokenizer, it is tokenised whole.
     """
 
-    def __init__(self, path: str, keep: int = 200_000):
+    _own: dict[str, WordTokenizer] = {}
+
+    def __init__(self, path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keep = keep
-        outer = self
-
-        class Words(dict):
-            def __missing__(self, word):
-                ids = outer.old.get(word)
-                if ids is None:
-                    ids = outer.whole(word)
-                if len(self) >= outer.keep:
-                    outer.old = dict(self)
-                    self.clear()
-                self[word] = ids
-                return ids
-
+        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.words = Words()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    @classmethod
+    def of(cls, path: str) -> WordTokenizer:
+        """The process's own, which outlives a task."""
+        if path not in cls._own:
+            cls._own[path] = cls(path)
+        return cls._own[path]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Token ids as little-endian unsigned 32-bit integers."""
-        if ODD_SPACE.search(text):
-            return self.whole(text)
-        words = text.split()
-        return b"".join(map(self.words.__getitem__, words))
+    def learn(self, words: set[str]) -> None:
+        """Remember these words."""
+        if len(self.young) > self.keep:
+            self.old, self.young = self.young, {}
+        known, old = self.young, self.old
+        fresh, tailed, rest = [], [], []
+        for word in words:
+            if word in known:
+                continue
+            if word in old:
+                known[word] = old[word]
+            elif word.isalpha():
+                fresh.append(word)
+            elif word[-1] in ".," and word[:-1].isalpha():
+                tailed.append(word)
+            else:
+                rest.append(word)
+        fresh += {w[:-1] for w in tailed}.difference(known, fresh)
+        for a in range(0, len(fresh), 500):
+            some = fresh[a : a + 500]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(some):
+                known.update(zip(some, (ids[x:y].tobytes() for x, y in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)), strict=True))
+            else:
+                rest += some
+        for word in [*rest, *{w[-1] for w in tailed}.difference(known)]:
+            known[word] = self.whole(word)
+        for word in tailed:
+            known[word] = known[word[:-1]] + known[word[-1]]
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each text as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        for a in range(0, len(texts), 256):
+            split = [None if ODD.search(t) else t.lower().split() for t in texts[a : a + 256]]
+            self.learn(set().union(*(s for s in split if s)))
+            find = self.young.__getitem__
+            out += [self.whole(t) if s is None else b"".join(map(find, s)) for t, s in zip(texts[a : a + 256], split, strict=True)]
+        return out
 
 
 def cut(ids: bytes, end_id: int, capacity: int) -> Iterator[tuple[int, int, bytes]]:
@@ -82,11 +118,12 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 409
     def run(batches):
         import pyarrow as pa
 
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = WordTokenizer.of(tokenizer_path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for k, (start, length, part) in enumerate(cut(tokenizer.encode(text or ""), end_id, capacity)):
+            encoded = tokenizer.encode_batch([t or "" for t in batch.column(1).to_pylist()])
+            for doc, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                for k, (start, length, part) in enumerate(cut(ids, end_id, capacity)):
                     rows.append((doc, k, start, length, zlib.crc32(part), part))
             if rows:
                 cols = list(zip(*rows, strict=True))
