@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motolake.llm import ann, html, jaccard, language, media, mixing, packing, toxicity
+from motolake.llm import ann, html, jaccard, language, media, mixing, packing, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_language": language.op4_language,
     "op5_html": html.op5_html,
     "op7_mixing": mixing.op7_mixing,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_jaccard": jaccard.op9_jaccard,
     "op10_ann": ann.op10_ann,
 }
