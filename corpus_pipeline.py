@@ -1,13 +1,101 @@
-"""Corpus pipeline: stages over documents, each of which calls a training-data operator."""
+"""Corpus pipeline: stages over documents, each of which applies a training-data operator.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next
+one's docs. All but the last return the columns of documents: doc_id, text, lang, source, n_chars. Other
+columns of the input are dropped by the first stage.
+
+Rows whose id is null or stands in several rows are documents of their own in every stage. Null and empty
+texts aren't toxic, have no near duplicates and no passages; mixing, which draws words, draws none of
+theirs. Mixing repeats and cuts documents, so ids repeat from there on. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from motolake.llm import jaccard, mixing, packing, suffix_dedup, toxicity
+from motolake.llm.common import materialize, with_row_ids
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays below one half; null texts have nothing toxic and stay."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    table, curve, _ = toxicity.fit(docs, labels)
+    values = toxicity.differences(docs, table, keep=COLUMNS[1:])
+    return values.filter(toxicity.score_of(curve) < 0.5).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    docs, own = with_row_ids(docs.select(*COLUMNS))
+    groups = jaccard.near_duplicates(docs, id_col=own)
+    others = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("other"))
+    return docs.join(others, docs[own] == F.col("other"), "left_anti").select(*COLUMNS)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand earlier already; a document of which nothing is left goes.
+
+    Characters of which only some bytes repeat go whole. Documents without a repeat come back as they were, null and empty ones too.
+    """
+    docs, own = with_row_ids(docs.select(*COLUMNS))
+    found = suffix_dedup.remove_repeats(docs, id_col=own, with_kept=False).filter("n_removed > 0")
+    found = found.select(F.col("doc_id").alias("cut_id"), "n_bytes", "n_removed", F.arrays_zip("starts", "ends").alias("cuts"))
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = []
+            for text, cuts in zip(batch.column(1).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                if cuts:
+                    raw, at, kept = text.encode("utf-8"), 0, []
+                    for c in cuts:
+                        kept.append(raw[at : c["starts"]].decode("utf-8", "ignore"))
+                        at = c["ends"]
+                    text = "".join([*kept, raw[at:].decode("utf-8", "ignore")])
+                texts.append(text)
+            columns = batch.columns
+            sizes = [None if t is None else len(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([columns[0], pa.array(texts, pa.string()), columns[2], columns[3], pa.array(sizes, pa.int64())], list(COLUMNS))
+
+    whole = docs.join(found, docs[own] == found["cut_id"], "left").filter("n_removed is null or n_removed < n_bytes")
+    return whole.select(*COLUMNS, "cuts").mapInArrow(cut, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture's draws as documents: a document as often as the mixture takes it, and a part of it for a part taken."""
+    docs, own = with_row_ids(docs.select(*COLUMNS))
+    documents, draws = mixing.mix(docs, id_col=own)
+    turns = draws.groupBy("source_index", "place", "epoch").agg(F.sum("n_words").alias("n_words"))
+    turns = documents.filter("size > 0").select("doc_id", "source_index", "place", "size").join(turns, ["source_index", "place"])
+    turns = materialize(turns.groupBy(F.col("doc_id").alias("turn_id")).agg(F.sum((F.col("n_words") == F.col("size")).cast("int")).alias("copies"), F.max(F.when(F.col("n_words") < F.col("size"), F.col("n_words"))).alias("part")), "mixed-turns")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    head = F.array_join(F.slice(words, 1, F.col("part").cast("int")), " ")
+    times = F.concat(F.array_repeat(F.col("text"), F.col("copies").cast("int")), F.when(F.col("part").isNotNull(), F.array(head)).otherwise(F.array().cast("array<string>")))
+    out = docs.join(turns, docs[own] == turns["turn_id"]).withColumn("text", F.explode(times))
+    return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 4096 tokens: a row per piece of a document with its place."""
+    import public_tokenizers
+
+    packed = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [("toxicity", drop_toxic), ("near_duplicates", one_of_each_group), ("suffix_dedup", cut_repeats), ("mixing", mix_sources), ("packing", pack)]
+
+#: Tokens and language models are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -31,6 +31,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def repeats(docs: DataFrame, id_col: str = "doc_id") -> bool:
+    """Whether an id is null or stands in more than one row."""
+    return docs.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).limit(1).count() > 0
+
+
+def with_row_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """(docs, name of a column of unique ids that are not null): the id, or a number in the order of id and text, written with docs, where ids are null or repeat."""
+    if not repeats(docs, id_col):
+        return docs, id_col
+    return materialize(docs.orderBy(id_col, text_col).withColumn("row_id", F.monotonically_increasing_id()), "row-ids"), "row_id"
+
+
 def held_out(id_col, folds: int = 5):
     """True for ids whose crc32 as text is divisible by folds; ids that are null count as held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(True))

@@ -189,7 +189,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     turns = placed.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("start", start).withColumn("stop", stop).filter("start < stop")
     width = F.lit(block_words)
     turns = turns.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("stop") - 1) / width))))
-    parts = turns.select("doc_id", "source_index", "place", "epoch", "block", "start", "stop").join(blocks, ["source_index", "block"])
+    parts = turns.select("doc_id", "source_index", "place", "epoch", "block", "start", "stop").join(blocks.hint("merge"), ["source_index", "block"])
     low, high = F.greatest("start", "first_word"), F.least(F.col("stop"), F.col("first_word") + F.col("words"))
     draws = parts.select("doc_id", "source_index", "place", "epoch", (low - F.col("start")).alias("from_word"), (high - low).alias("n_words"), "block", "shard", "shard_order")
     return placed, draws

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motolake.llm import ann, html, jaccard, language, media, mixing, packing, suffix_dedup, toxicity
+from motolake.llm import ann, html, jaccard, language, licenses, media, mixing, packing, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_media": media.op3_media,
     "op4_language": language.op4_language,
     "op5_html": html.op5_html,
+    "op6_licenses": licenses.op6_licenses,
     "op7_mixing": mixing.op7_mixing,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_jaccard": jaccard.op9_jaccard,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op6_licenses": licenses.oracle_sql(),
     "op7_mixing": mixing.ORACLE_SQL,
 }

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import PrefixHash, joined, materialize, segmented_arange, wanted_parts
+from motolake.llm.common import PrefixHash, joined, segmented_arange, wanted_parts, with_row_ids
 
 LENGTH = 100
 GRAM = 24
@@ -343,10 +343,10 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (starts and ends of removed runs) and, with_kept, kept (the bytes left)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
-    if docs.groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        ordered = materialize(docs.orderBy("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "suffix-rows")
-        found = remove_repeats(ordered.select("row", "text"), id_col="row", length=length, gram=gram, block_bytes=block_bytes, with_kept=with_kept)
-        return found.withColumnRenamed("doc_id", "row").join(ordered.select("row", "doc_id"), "row").drop("row").select("doc_id", *[c for c in found.columns if c != "doc_id"])
+    own, name = with_row_ids(docs)
+    if name != "doc_id":
+        found = remove_repeats(own.select(name, "text"), id_col=name, length=length, gram=gram, block_bytes=block_bytes, with_kept=with_kept)
+        return found.withColumnRenamed("doc_id", name).join(own.select(name, "doc_id"), name).select(*found.columns)
     texts, marks, _ = find_repeats(docs, length=length, gram=gram, block_bytes=block_bytes)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends"] + (["kept"] if with_kept else [])
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>" + (", kept binary" if with_kept else "")

@@ -125,14 +125,15 @@ class Ratios(dict):
 
 
 def differences(docs: DataFrame, table: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_entries: int = 1_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, difference (and columns to keep): the length-normalised log-likelihood difference of each document."""
+    """doc_id, difference (and text, if kept, and further columns to keep): the length-normalised log-likelihood difference of each document."""
     entries = table.limit(broadcast_entries + 1).collect()
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+    others = [c for c in keep if c != "text"]
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *others)
     if len(entries) > broadcast_entries:
         return _joined_differences(source, table, keep)
     known = {r["expression"]: r["ratio"] for r in entries}
     handle = docs.sparkSession.sparkContext.broadcast(known)
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
 
     def run(batches):
         import pyarrow as pa
@@ -143,7 +144,7 @@ def differences(docs: DataFrame, table: DataFrame, *, id_col: str = "doc_id", te
             for text in batch.column(1).to_pylist():
                 words = words_of(text)
                 out.append(math.fsum(map(ratios.__getitem__, words)) / len(words) if words else 0.0)
-            kept = [batch.column(i + 2) for i in range(len(keep))]
+            kept = [batch.column(1) if c == "text" else batch.column(2 + others.index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64()), *kept], ["doc_id", "difference", *keep])
 
     return source.mapInArrow(run, ", ".join(["doc_id long, difference double", *(f"{c} {types[c]}" for c in keep)]))
@@ -208,13 +209,21 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return materialize(score_table(materialize(counts, "toxicity-counts")), "toxicity-table"), known
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """doc_id, held_out, difference, score, predicted for every row of docs."""
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[DataFrame, tuple[float, float] | None, DataFrame]:
+    """(score table, slope and intercept, doc_id and difference of all documents)."""
     table, known = train(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col)
     values = materialize(differences(docs, table, id_col=id_col, text_col=text_col), "toxicity-differences")
-    curve = fit_curve(values.join(known, "doc_id"))
-    score = F.lit(0.0) if curve is None else 1 / (1 + F.exp(-(F.lit(curve[0]) * F.col("difference") + F.lit(curve[1]))))
-    return values.select("doc_id", held_out("doc_id").alias("held_out"), "difference", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return table, fit_curve(values.join(known, "doc_id")), values
+
+
+def score_of(curve: tuple[float, float] | None):
+    return F.lit(0.0) if curve is None else 1 / (1 + F.exp(-(F.lit(curve[0]) * F.col("difference") + F.lit(curve[1]))))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """doc_id, held_out, difference, score, predicted for every row of docs."""
+    _, curve, values = fit(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col)
+    return values.select("doc_id", held_out("doc_id").alias("held_out"), "difference", score_of(curve).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
