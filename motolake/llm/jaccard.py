@@ -27,6 +27,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -88,8 +89,8 @@ def batches_of(column, ids, most: int = 1 << 20):
         a = b
 
 
-def split_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, extra: list[bytes] | None = None) -> list[tuple[int, bytes, bytes, bytes, bytes]]:
-    """(part, ids, counts, keys, extra) of each block of columns; extra (16 bytes of fingerprint and 4 of size a row) goes to block 0."""
+def split_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, extra: list[bytes] | None = None, batch: int = 0) -> list[tuple[int, bytes, bytes, bytes, bytes, int]]:
+    """(part, ids, counts, keys, extra, batch) of each block of columns; extra (16 bytes of fingerprint and 4 of size a row) goes to block 0."""
     sizes = np.array([len(s) for s in sets])
     tokens = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     row = np.repeat(np.arange(len(sets)), sizes)
@@ -106,18 +107,26 @@ def split_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, extra: li
             full[here] = counts
             here, counts = np.arange(len(sets)), full
         if len(here):
-            out.append((p, ids[here].astype("<i8").tobytes(), counts.astype("<i4").tobytes(), (tokens[a:b] >> np.uint64(32)).astype("<u4").tobytes(), b"".join(extra) if p == 0 and extra else b""))
+            out.append((p, ids[here].astype("<i8").tobytes(), counts.astype("<i4").tobytes(), (tokens[a:b] >> np.uint64(32)).astype("<u4").tobytes(), b"".join(extra) if p == 0 and extra else b"", batch))
     return out
 
 
-COLUMNS = "part int, ids binary, counts binary, keys binary, extra binary"
+COLUMNS = "part int, ids binary, counts binary, keys binary, extra binary, batch long"
 
 
 def record(rows: list[tuple]):
     import pyarrow as pa
 
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(5)], ["part", "ids", "counts", "keys", "extra"])
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["part", "ids", "counts", "keys", "extra", "batch"])
+
+
+def batch_numbers():
+    """Numbers that no other task of the stage gives, the same when the task runs again."""
+    from pyspark import TaskContext
+
+    task = TaskContext.get()
+    return itertools.count((task.partitionId() if task else 0) << 32)
 
 
 def from_buffers(column, kind: str) -> np.ndarray:
@@ -125,37 +134,54 @@ def from_buffers(column, kind: str) -> np.ndarray:
 
 
 def count_shared(columns: DataFrame, frequent_from: int | None = None) -> DataFrame:
-    """doc_id, shared, size, hi, lo: a block's shared shingles of each document, and from block 0 sizes and fingerprints. With frequent_from, rows of frequent columns too: doc_id null, shared the count, hi the key."""
+    """Replies of blocks of columns: a row for each row of a batch: batch, ids, shared (numbers of shared shingles in the block), extra. With frequent_from, rows without a batch too: keys and counts of frequent columns, as ids and shared."""
 
     def run(table):
         import pyarrow as pa
 
         part = table.column("part")[0].as_py()
-        ids, counts = from_buffers(table.column("ids"), "<i8"), from_buffers(table.column("counts"), "<i4")
-        keys, extra = from_buffers(table.column("keys"), "<u4"), np.frombuffer(b"".join(table.column("extra").to_pylist()), [("hi", "<i8"), ("lo", "<i8"), ("n", "<i4")])
-        row = np.repeat(np.arange(len(ids)), counts)
+        id_blobs = table.column("ids").to_pylist()
+        counts, keys = from_buffers(table.column("counts"), "<i4"), from_buffers(table.column("keys"), "<u4")
+        row = np.repeat(np.arange(len(counts)), counts)
         order = np.argsort(keys, kind="stable")
         in_order = keys[order]
         new = np.ones(len(keys), bool)
         new[1:] = in_order[1:] != in_order[:-1]
         first = np.flatnonzero(new)
         height = np.diff(np.append(first, len(keys)))
-        shared = np.bincount(row[order], np.repeat(height > 1, height), len(ids)).astype(np.int64)
-        if len(extra):
-            out = {"doc_id": pa.array(ids), "shared": pa.array(shared), "size": pa.array(extra["n"].astype(np.int64)), "hi": pa.array(extra["hi"]), "lo": pa.array(extra["lo"])}
-        else:
-            on = shared > 0
-            zero = np.zeros(int(on.sum()), np.int64)
-            out = {"doc_id": pa.array(ids[on]), "shared": pa.array(shared[on]), "size": pa.array(zero), "hi": pa.array(zero), "lo": pa.array(zero)}
-        result = pa.table(out)
+        shared = np.bincount(row[order], np.repeat(height > 1, height), len(counts)).astype("<i4")
+        ends = np.cumsum([len(x) // 8 for x in id_blobs])
+        batch, out = table.column("batch").to_pylist(), [shared[e - len(x) // 8 : e].tobytes() for e, x in zip(ends.tolist(), id_blobs, strict=True)]
+        extra = table.column("extra").to_pylist()
         if frequent_from is not None:
             many = height >= frequent_from
-            key = in_order[first[many]].astype(np.int64)
-            lot = pa.table({"doc_id": pa.nulls(len(key), pa.int64()), "shared": pa.array(height[many].astype(np.int64)), "size": pa.array(np.full(len(key), part, np.int64)), "hi": pa.array(key), "lo": pa.array(np.zeros(len(key), np.int64))})
-            result = pa.concat_tables([result, lot])
-        return result
+            key = in_order[first[many]].astype("<i8") << 32 | part
+            batch, id_blobs, out, extra = [*batch, None], [*id_blobs, key.astype("<i8").tobytes()], [*out, height[many].astype("<i4").tobytes()], [*extra, b""]
+        return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array(id_blobs, pa.binary()), "shared": pa.array(out, pa.binary()), "extra": pa.array(extra, pa.binary())})
+
+    return columns.groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, extra binary")
+
+
+def add_shared(replies: DataFrame) -> DataFrame:
+    """doc_id, shared, size, hi, lo of every document of the batches; size and fingerprint are 0 without extra."""
+
+    def run(table):
+        import pyarrow as pa
+
+        ids, shared = from_buffers(table.column("ids"), "<i8"), from_buffers(table.column("shared"), "<i4")
+        extra = np.frombuffer(b"".join(table.column("extra").to_pylist()), [("hi", "<i8"), ("lo", "<i8"), ("n", "<i4")])
+        docs, place = np.unique(ids, return_inverse=True)
+        total = np.bincount(place, shared, len(docs)).astype(np.int64)
+        out = np.zeros(len(docs), [("n", "<i8"), ("hi", "<i8"), ("lo", "<i8")])
+        if len(extra):  # of block 0, which lists every document of the batch
+            mine = np.concatenate([np.frombuffer(i, "<i8") for i, e in zip(table.column("ids").to_pylist(), table.column("extra").to_pylist(), strict=True) if e])
+            order = np.argsort(extra["n"], kind="stable")  # of rows that repeat an id the largest set stays
+            at = np.searchsorted(docs, mine[order])
+            for c in ("n", "hi", "lo"):
+                out[c][at] = extra[c][order]
+        return pa.table({"doc_id": pa.array(docs), "shared": pa.array(total), "size": pa.array(out["n"]), "hi": pa.array(out["hi"]), "lo": pa.array(out["lo"])})
 
-    return columns.groupBy("part").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
+    return replies.filter("batch is not null").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
 
 
 # ---------------------------------------------------------------- product
@@ -206,10 +232,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     def columns_of_texts(batches):
         held: list[tuple[np.ndarray, np.ndarray, bytes]] = []
-        weight = 0
+        weight, numbers = 0, batch_numbers()
 
         def out():
-            return record(split_columns(np.array([h[0] for h in held], np.int64), [h[1] for h in held], parts, [h[2] for h in held]))
+            return record(split_columns(np.array([h[0] for h in held], np.int64), [h[1] for h in held], parts, [h[2] for h in held], next(numbers)))
 
         for batch in batches:
             for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
@@ -222,7 +248,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if held:
             yield out()
 
-    found = count_shared(docs.mapInArrow(columns_of_texts, COLUMNS))
+    found = add_shared(count_shared(docs.mapInArrow(columns_of_texts, COLUMNS)))
     whole = F.max(F.struct("size", "hi", "lo"))
     sums = materialize(found.groupBy("doc_id").agg(F.sum("shared").alias("shared"), whole.alias("s")).select("doc_id", "shared", "s.*"), "jaccard-sizes")
     enough = (F.col("shared") * 100 >= F.col("size") * percent) & (F.col("size") > 0)
@@ -245,20 +271,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = max(64, wanted_parts(total, frequent))
 
     def columns_of_sets(batches):
+        numbers = batch_numbers()
         for batch in batches:
             ids, blobs = batch.column(0).to_numpy(), [np.frombuffer(b, "<u8") for b in batch.column(2).to_pylist()]
             ends = np.cumsum([len(b) for b in blobs])
             a = 0
             while a < len(ids):
                 b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 19))))
-                yield record(split_columns(ids[a:b], blobs[a:b], parts))
+                yield record(split_columns(ids[a:b], blobs[a:b], parts, batch=next(numbers)))
                 a = b
 
     again = materialize(count_shared(sets.mapInArrow(columns_of_sets, COLUMNS), least), "jaccard-shared")
-    often = again.filter("doc_id is null").select("hi", "size", "shared").collect()
-    common_keys = np.array(sorted((r["hi"] * parts + r["size"], r["shared"]) for r in often), np.int64).reshape(len(often), 2)
+    often = again.filter("batch is null").select("ids", "shared").collect()
+    common_keys = np.stack([np.concatenate([np.frombuffer(r[c], t).astype(np.int64) for r in often] or [np.zeros(0, np.int64)]) for c, t in (("ids", "<i8"), ("shared", "<i4"))], axis=1)
+    common_keys = common_keys[np.argsort(common_keys[:, 0])]
     handle = docs.sparkSession.sparkContext.broadcast(common_keys)
-    kept = again.filter("doc_id is not null").groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+    kept = add_shared(again).groupBy("doc_id").agg(F.sum("shared").alias("shared"))
     sets = sets.join(kept, "doc_id").filter(F.col("shared") * 100 >= F.col("size") * percent).select("doc_id", "size", "shingles")
     sets = materialize(sets, "jaccard-kept")
 
@@ -272,7 +300,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 tokens = np.frombuffer(blob, "<u8")
                 height = np.zeros(n, np.int64)
                 if len(common):
-                    key = (tokens >> np.uint64(32)).astype(np.int64) * parts + (tokens % np.uint64(parts)).astype(np.int64)
+                    key = (tokens >> np.uint64(32)).astype(np.int64) << 32 | (tokens % np.uint64(parts)).astype(np.int64)
                     at = np.minimum(np.searchsorted(common[:, 0], key), len(common) - 1)
                     height = np.where(common[at, 0] == key, common[at, 1], 0)
                 order = np.lexsort((tokens, height))[: n - -(-percent * n // 100) + 1]
@@ -280,7 +308,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 part = (mine % np.uint64(parts)).astype(np.int64)
                 for p in np.unique(part).tolist():
                     rows[p].append((doc, n, mine[part == p]))
-            out = [(p, np.array([r[0] for r in x], "<i8").tobytes(), np.array([(len(r[2]), r[1]) for r in x], "<i4").tobytes(), np.concatenate([r[2] for r in x]).astype("<u8").tobytes(), b"") for p, x in enumerate(rows) if x]
+            out = [(p, np.array([r[0] for r in x], "<i8").tobytes(), np.array([(len(r[2]), r[1]) for r in x], "<i4").tobytes(), np.concatenate([r[2] for r in x]).astype("<u8").tobytes(), b"", 0) for p, x in enumerate(rows) if x]
             if out:
                 yield record(out)
 
