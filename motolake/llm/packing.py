@@ -14,6 +14,7 @@ as they occur. An empty table gives no rows. Other columns of the input are igno
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -26,19 +27,21 @@ from motolake.llm.common import wanted_parts
 #: White space and capitals that the tokenizer and Python treat differently, and the marks of special tokens.
 ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u0130\u03a3\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]|<\|")
 
+PUNCTUATION = string.punctuation
+
 
 class WordTokenizer:
     """Token ids of texts by way of their words, for a tokenizer that lowers case and never joins text across white space.
 
     Words are remembered, in two generations of at most ``keep`` each. New words of letters are tokenised
-    many at a time: a word's ids end with the one id that carries the end-of-word mark. A word with one
-    stop or comma behind its letters is its letters and the sign. Whatever else a text holds, if lower
-    case or white space could mean something else to the tokenizer, it is tokenised whole.
+    many at a time: a word's ids end with the one id that carries the end-of-word mark. A word with
+    punctuation behind its letters is its letters and the punctuation. A text in which lower case or
+    white space could mean something else to the tokenizer is tokenised whole.
     """
 
     _own: dict[str, WordTokenizer] = {}
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -64,40 +67,61 @@ class WordTokenizer:
         if len(self.young) > self.keep:
             self.old, self.young = self.young, {}
         known, old = self.young, self.old
+        new = words.difference(known)
+        for word in old.keys() & new:
+            known[word] = old[word]
         fresh, tailed, rest = [], [], []
-        for word in words:
-            if word in known:
-                continue
-            if word in old:
-                known[word] = old[word]
-            elif word.isalpha():
+        for word in new.difference(old):
+            if word.isalpha():
                 fresh.append(word)
-            elif word[-1] in ".," and word[:-1].isalpha():
-                tailed.append(word)
+            elif (stem := word.rstrip(PUNCTUATION)).isalpha():
+                tailed.append((word, stem, word[len(stem) :]))
             else:
                 rest.append(word)
-        fresh += {w[:-1] for w in tailed}.difference(known, fresh)
-        for a in range(0, len(fresh), 500):
-            some = fresh[a : a + 500]
+        stems, tails = {t[1] for t in tailed}, {t[2] for t in tailed}
+        for part in (stems, tails):
+            for word in old.keys() & part.difference(known):
+                known[word] = old[word]
+        fresh += stems.difference(known, fresh)
+        rest += tails.difference(known, rest)
+        for a in range(0, len(fresh), 1000):
+            some = fresh[a : a + 1000]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
+            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             if len(stops) == len(some):
-                known.update(zip(some, (ids[x:y].tobytes() for x, y in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)), strict=True))
+                raw, at = ids.tobytes(), 0
+                for word, stop in zip(some, stops, strict=True):
+                    known[word] = raw[at:stop]
+                    at = stop
             else:
                 rest += some
-        for word in [*rest, *{w[-1] for w in tailed}.difference(known)]:
+        for word in rest:
             known[word] = self.whole(word)
-        for word in tailed:
-            known[word] = known[word[:-1]] + known[word[-1]]
+        for word, stem, tail in tailed:
+            known[word] = known[stem] + known[tail]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
-        for a in range(0, len(texts), 256):
-            split = [None if ODD.search(t) else t.lower().split() for t in texts[a : a + 256]]
-            self.learn(set().union(*(s for s in split if s)))
-            find = self.young.__getitem__
-            out += [self.whole(t) if s is None else b"".join(map(find, s)) for t, s in zip(texts[a : a + 256], split, strict=True)]
+        for a in range(0, len(texts), 512):
+            found: list[list[bytes | None] | bytes] = []
+            gaps: list[tuple[int, list[str], list[int]]] = []
+            find = self.young.get
+            for i, text in enumerate(texts[a : a + 512]):
+                if ODD.search(text):
+                    found.append(self.whole(text))
+                    continue
+                words = text.lower().split()
+                ids = list(map(find, words))
+                found.append(ids)
+                if None in ids:
+                    places = [k for k, x in enumerate(ids) if x is None]
+                    gaps.append((i, [words[k] for k in places], places))
+            self.learn(set().union(*(g[1] for g in gaps)))
+            for i, words, places in gaps:
+                for k, word in zip(places, words, strict=True):
+                    found[i][k] = self.young[word]  # type: ignore[index]
+            out += [x if isinstance(x, bytes) else b"".join(x) for x in found]  # type: ignore[arg-type]
         return out
 
 
