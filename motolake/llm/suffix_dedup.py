@@ -6,8 +6,8 @@ smaller id, or earlier in the same one), judged on the input.
 The suffixes indexed are those at content-defined places: of the ``gram``-byte strings inside a window of
 ``length`` bytes the one with the smallest hash, leftmost, is the window's anchor, so equal windows have
 equal anchors at equal places, and the windows of an anchor are neighbours; together they are a segment. A suffix array
-here is a sorted array of suffixes by the fingerprints of their gram and of their segment (long matches
-only need equality, not the order of letters). Arrays are dealt to tasks by the gram's hash. There each
+here is a sorted array of suffixes by the fingerprints of their segments (long matches only need
+equality, not the order of letters). Arrays are dealt to tasks by the gram's hash. There each
 batch's array is merge-scanned against the levels of an ``IndexFamily``; a match leaves the earlier suffix
 in the index and marks the later one's windows as repeated. Levels of equal size merge, so there are
 logarithmically many and an entry moves as often.
@@ -39,9 +39,11 @@ BLOCK_BYTES = 16 << 20
 CHUNK = 1 << 20
 BATCH = 8 << 20
 
-SUFFIX = np.dtype([("gram", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("windows", "<i2"), ("many", "u1")])
-WINDOW = np.dtype([("whole", "<u8"), ("doc", "<i8"), ("at", "<i4")])
+#: Suffixes as a task holds them: fingerprint of the segment (or window), place, and for segments the gram, the number of windows and whether other segments are known to share the gram.
+SUFFIX = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("gram", "<u4"), ("windows", "<u2"), ("many", "u1")])
+WINDOW = np.dtype([("key", "<u8"), ("doc", "<i8"), ("at", "<i4")])
 SPAN = np.dtype([("doc", "<i8"), ("at", "<i4"), ("windows", "<i4"), ("sure", "u1")])
+FAMILY_BATCH = 1 << 18
 
 
 # ---------------------------------------------------------------- suffixes of texts
@@ -93,75 +95,118 @@ def part_column(col, parts: int):
 
 # ---------------------------------------------------------------- index family
 class IndexFamily:
-    """Sorted arrays of suffixes, one per key, levels of geometrically growing sizes. key: names of the fields of the key."""
+    """Sorted arrays of suffixes with different keys, in levels of geometrically growing sizes."""
 
-    def __init__(self, key: tuple[str, ...]):
-        self.key = key
+    def __init__(self) -> None:
         self.levels: list[np.ndarray] = []
 
-    def sort(self, entries: np.ndarray) -> np.ndarray:
-        return entries[np.lexsort(tuple(entries[n] for n in ("at", "doc", *reversed(self.key))))]
-
-    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        out = a[self.key[0]] == b[self.key[0]]
-        for n in self.key[1:]:
-            out &= a[n] == b[n]
-        return out
-
-    def match(self, batch: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in batch and level of equal keys: one merge of two sorted arrays."""
-        if len(self.key) == 1:
-            at = np.searchsorted(level[self.key[0]], batch[self.key[0]])
-        else:
-            both = np.concatenate([level, batch])
-            side = np.repeat(np.array([0, 1], np.int8), [len(level), len(batch)])
-            order = np.lexsort((side, *(both[n] for n in reversed(self.key))))
-            one, two = order[:-1], order[1:]
-            hit = self.same(both[one], both[two]) & (side[one] == 0) & (side[two] == 1)
-            return two[hit] - len(level), one[hit]
-        inside = np.flatnonzero(at < len(level))
-        hit = inside[batch[self.key[0]][inside] == level[self.key[0]][at[inside]]]
-        return hit, at[hit]
+    @staticmethod
+    def sort(entries: np.ndarray) -> np.ndarray:
+        """By key, then place."""
+        entries = entries[np.lexsort((entries["at"], entries["doc"]))]
+        return entries[np.argsort(entries["key"], kind="stable")]
 
     def add(self, batch: np.ndarray) -> np.ndarray:
-        """Index a batch; the suffixes, of it or indexed before, that an equal and earlier one is known of."""
+        """Index a batch; returns suffixes, of it or indexed before, to which an equal and earlier one is known."""
+        if not len(batch):
+            return batch
         batch = self.sort(batch)
-        later = []
-        if len(batch):
-            repeat = np.zeros(len(batch), bool)
-            repeat[1:] = self.same(batch[1:], batch[:-1])
-            later.append(batch[repeat])
-            batch = batch[~repeat].copy()
+        repeat = np.zeros(len(batch), bool)
+        repeat[1:] = batch["key"][1:] == batch["key"][:-1]
+        later = [batch[repeat]]
+        if "many" in batch.dtype.names and repeat.any():
+            first = np.flatnonzero(~repeat)
+            batch["many"][first] = np.maximum.reduceat(batch["many"], first)
+        batch = batch[~repeat]
         for level in self.levels:
-            mine, held = self.match(batch, level)
+            at = np.searchsorted(level["key"], batch["key"])
+            at[at == len(level)] = 0
+            mine = np.flatnonzero(level["key"][at] == batch["key"])
+            if not len(mine):
+                continue
+            held = at[mine]
             new, old = batch[mine], level[held]
             earlier = (new["doc"] < old["doc"]) | ((new["doc"] == old["doc"]) & (new["at"] < old["at"]))
-            later.append(np.where(earlier, old, new))
-            if "many" in (batch.dtype.names or ()):
+            later += [old[earlier], new[~earlier]]
+            if "many" in batch.dtype.names:
                 new["many"] |= old["many"]
-                old["many"] |= new["many"]
-            level[held] = np.where(earlier, new, old)
-            gone = np.zeros(len(batch), bool)
-            gone[mine] = True
-            batch = batch[~gone]
+                level["many"][held] = new["many"]
+            level[held[earlier]] = new[earlier]
+            keep = np.ones(len(batch), bool)
+            keep[mine] = False
+            batch = batch[keep]
         if len(batch):
             while self.levels and len(self.levels[-1]) <= 2 * len(batch):
-                batch = self.sort(np.concatenate([self.levels.pop(), batch]))
+                both = np.concatenate([self.levels.pop(), batch])
+                batch = both[np.argsort(both["key"], kind="stable")]
             self.levels.append(batch)
-        return np.concatenate(later) if later else batch[:0]
+        return np.concatenate(later)
 
-    def all(self) -> np.ndarray | None:
-        """Every suffix in the index, sorted."""
-        if not self.levels:
-            return None
-        self.levels = [self.sort(np.concatenate(self.levels))]
-        return self.levels[0]
+    def add_all(self, batches) -> list[np.ndarray]:
+        """Index many small batches, some at a time."""
+        later, held, size = [], [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= FAMILY_BATCH:
+                later.append(self.add(np.concatenate(held)))
+                held, size = [], 0
+        if held:
+            later.append(self.add(np.concatenate(held)))
+        return later
+
+    def all(self, kind: np.dtype) -> np.ndarray:
+        """Every suffix in the index."""
+        return np.concatenate(self.levels) if self.levels else np.zeros(0, kind)
+
+
+def shared_grams(entries: np.ndarray) -> np.ndarray:
+    """Whether another entry has the same gram."""
+    order = np.argsort(entries["gram"], kind="stable")
+    gram = entries["gram"][order]
+    same = np.zeros(len(gram) + 1, bool)
+    same[1:-1] = gram[1:] == gram[:-1]
+    out = np.zeros(len(gram), bool)
+    out[order] = same[1:] | same[:-1]
+    return out
 
 
-def keep_one(records: np.ndarray, family: IndexFamily) -> tuple[np.ndarray, np.ndarray]:
-    """(earliest suffix of each key, the later ones)."""
-    later = family.add(records)
-    return (family.all() if family.levels else records[:0]), later
+# ---------------------------------------------------------------- compact records
+def encode(records: np.ndarray) -> bytes:
+    """Records without what follows from their order: documents once, places as differences."""
+    records = records[np.lexsort((records["at"], records["doc"]))]
+    docs, first, counts = np.unique(records["doc"], return_index=True, return_counts=True)
+    step = np.diff(records["at"].astype(np.int64), prepend=0)
+    step[first] = records["at"][first]
+    far = np.flatnonzero(step >= 65535)
+    parts = [np.array([len(records), len(docs), len(far)], "<u4"), docs, counts.astype("<u4"), far.astype("<u4"), step[far].astype("<i8"), np.minimum(step, 65535).astype("<u2"), records["key"]]
+    if "gram" in records.dtype.names:
+        parts += [records["gram"], records["windows"], records["many"]]
+    return b"".join(x.tobytes() for x in parts)
+
+
+def decode(body: bytes, kind: np.dtype) -> np.ndarray:
+    n, m, k = np.frombuffer(body, "<u4", 3).tolist()
+    at = 12
+
+    def take(dtype: str, count: int) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(body, dtype, count, at)
+        at += out.nbytes
+        return out
+
+    docs, counts, far, far_step = take("<i8", m), take("<u4", m).astype(np.int64), take("<u4", k), take("<i8", k)
+    step = take("<u2", n).astype(np.int64)
+    step[far] = far_step
+    out = np.zeros(n, kind)
+    out["key"] = take("<u8", n)
+    if "gram" in out.dtype.names:
+        out["gram"], out["windows"], out["many"] = take("<u4", n), take("<u2", n), take("u1", n)
+    out["doc"] = np.repeat(docs, counts)
+    total = np.cumsum(step)
+    begin = np.cumsum(counts) - counts
+    out["at"] = total - np.repeat(total[begin] - step[begin], counts) if n else total
+    return out
 
 
 def spans(records: np.ndarray, sure: int) -> np.ndarray:
@@ -188,13 +233,13 @@ def runs(found: np.ndarray) -> np.ndarray:
 BLOCKS = "part int, kind int, target int, body binary"
 
 
-def blocks(records: np.ndarray, part: np.ndarray, kind: int, target: np.ndarray | None = None) -> list[tuple[int, int, int, bytes]]:
-    """Rows of a part each; with target, of a target each, sent to some part."""
-    where = part if target is None else target
-    order = np.argsort(where, kind="stable")
-    where = where[order]
-    first = np.flatnonzero(np.diff(where, prepend=-1))
-    return [(int(part[order[a]]), kind, int(where[a]) if target is not None else -1, records[order[a:b]].tobytes()) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(where)], strict=True)]
+def blocks(records: np.ndarray, part: np.ndarray, kind: int) -> list[tuple[int, int, int, bytes]]:
+    """A row for each part: suffixes (kind 0), or spans for the documents of a part (kind 1), which go there by way of it."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    pack = encode if kind == 0 else np.ndarray.tobytes
+    return [(int(part[a]), kind, int(part[a]) if kind else -1, pack(records[order[a:b]])) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(part)], strict=True)]
 
 
 def batch_of(rows: list[tuple[int, int, int, bytes]]):
@@ -216,26 +261,25 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
     parts = max(8, wanted_parts(size, block_bytes))
 
     def to_parts(found: np.ndarray) -> list[tuple[int, int, int, bytes]]:
-        target = part_of(found["doc"], parts)
-        return blocks(found, target, 1, target)
+        return blocks(found, part_of(found["doc"], parts), 1)
 
     def index_texts(batches):
         held: list[np.ndarray] = []
         weight = 0
 
         def out():
-            records = np.concatenate(held)
-            one, later = keep_one(records, IndexFamily(("gram", "whole")))
-            # suffixes with equal grams that differ: all need a look at their windows; one tells the others
-            same = np.zeros(len(one) + 1, bool)
-            same[1:-1] = one["gram"][1:] == one["gram"][:-1]
-            several = same[1:] | same[:-1]
-            first = several & ~same[:-1]
-            told = one[first].copy()
-            told["many"] = 1
-            sent = np.concatenate([one[~several], told])
+            family = IndexFamily()
+            later = family.add(np.concatenate(held))
+            one = family.all(SUFFIX)
+            # segments that share a gram but differ: all need a look at their windows; one tells the others
+            several = shared_grams(one)
+            tells = one[several]
+            _, first = np.unique(tells["gram"], return_index=True)
+            tells = tells[first]
+            tells["many"] = 1
+            sent = np.concatenate([one[~several], tells])
             local = np.concatenate([spans(later, 1), spans(one[several], 0)])
-            return batch_of(blocks(sent, (sent["gram"] % np.uint64(parts)).astype(np.int64), 0) + to_parts(local))
+            return batch_of(blocks(sent, (sent["gram"] % np.uint32(parts)).astype(np.int64), 0) + to_parts(local))
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -243,7 +287,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
             for a, b in chunks(offsets):
                 text, at, count, grams, whole = anchored(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, gram)
                 records = np.zeros(len(text), SUFFIX)
-                records["gram"], records["whole"], records["doc"], records["at"], records["windows"] = grams, whole, ids[a:b][text], at, count
+                records["gram"], records["key"], records["doc"], records["at"], records["windows"] = grams >> np.uint64(32), whole, ids[a:b][text], at, count
                 held.append(records)
                 weight += int(offsets[b] - offsets[a])
                 if weight > BATCH:
@@ -254,27 +298,13 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
 
     def scan_suffixes(table):
         kind, body = table.column("kind").to_pylist(), table.column("body").to_pylist()
-        family = IndexFamily(("gram", "whole"))
         rows = [(t, 1, t, b) for t, k, b in zip(table.column("target").to_pylist(), kind, body, strict=True) if k == 1]
-        found, locally = [], []
-        for k, b in zip(kind, body, strict=True):
-            if k == 0:
-                batch = np.frombuffer(b, SUFFIX).copy()
-                locally.append(batch[batch["many"] == 1])
-                found.append(family.add(batch))
-        index = family.all()
-        if index is None:
-            return table_of(rows)
-        later = np.concatenate(found)
-        told = np.unique(np.concatenate(locally)["gram"])
-        differs = np.zeros(len(index) + 1, bool)
-        differs[1:-1] = index["gram"][1:] == index["gram"][:-1]
-        at = np.searchsorted(told, index["gram"])
-        listed = np.zeros(len(index), bool)
-        if len(told):
-            listed = told[np.minimum(at, len(told) - 1)] == index["gram"]
-        look = index[differs[1:] | differs[:-1] | listed]
-        return table_of(rows + to_parts(np.concatenate([spans(later, 1), spans(look, 0)])))
+        family = IndexFamily()
+        later = family.add_all(decode(b, SUFFIX) for k, b in zip(kind, body, strict=True) if k == 0)
+        index = family.all(SUFFIX)
+        told = np.unique(index["gram"][index["many"] == 1])
+        look = index[shared_grams(index) | np.isin(index["gram"], told)]
+        return table_of(rows + to_parts(np.concatenate([np.zeros(0, SPAN), *(spans(x, 1) for x in later), spans(look, 0)])))
 
     texts = docs.select(part_column(F.col("doc_id"), parts).alias("part"), "doc_id", "text")
     sent = texts.select("doc_id", "text").mapInArrow(index_texts, BLOCKS)
@@ -301,8 +331,10 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
         held, sizes = [], 0
 
         def send():
-            one, later = keep_one(np.concatenate(held), IndexFamily(("whole",)))
-            return blocks(one, (one["whole"] % np.uint64(parts)).astype(np.int64), 0) + to_parts(runs(spans(later, 1)))
+            family = IndexFamily()
+            later = family.add(np.concatenate(held))
+            one = family.all(WINDOW)
+            return blocks(one, (one["key"] % np.uint64(parts)).astype(np.int64), 0) + to_parts(runs(spans(later, 1)))
 
         for a, b in chunks(offsets):
             x, y = np.searchsorted(row, [a, b])
@@ -313,7 +345,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
             at = np.repeat(open_["at"][x:y].astype(np.int64), counts) + segmented_arange(counts)
             start = np.repeat(offsets[row[x:y]] - offsets[a], counts) + at
             records = np.zeros(len(at), WINDOW)
-            records["whole"], records["doc"], records["at"] = hashes.of(start, start + length), np.repeat(open_["doc"][x:y], counts), at
+            records["key"], records["doc"], records["at"] = hashes.of(start, start + length), np.repeat(open_["doc"][x:y], counts), at
             held.append(records)
             sizes += len(records)
             if sizes > 1 << 20:
@@ -328,12 +360,9 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
     def scan_windows(table):
         kind, body = table.column("kind").to_pylist(), table.column("body").to_pylist()
         rows = [(t, 1, t, b) for t, k, b in zip(table.column("target").to_pylist(), kind, body, strict=True) if k == 1]
-        family, found = IndexFamily(("whole",)), []
-        for k, b in zip(kind, body, strict=True):
-            if k == 0:
-                found.append(family.add(np.frombuffer(b, WINDOW).copy()))
-        if found:
-            rows += to_parts(runs(spans(np.concatenate(found), 1)))
+        later = IndexFamily().add_all(decode(b, WINDOW) for k, b in zip(kind, body, strict=True) if k == 0)
+        if later:
+            rows += to_parts(runs(spans(np.concatenate(later), 1)))
         return table_of(rows)
 
     second = closer.groupBy("part").applyInArrow(scan_windows, BLOCKS)
