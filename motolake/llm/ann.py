@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motolake.llm.common import materialize, mix64, wanted_parts
+from motolake.llm.common import begin, materialize, mix64, wanted_parts
 
 LEVEL_RATIO = 16
 
@@ -197,6 +197,7 @@ def build_index(vectors: DataFrame, *, k: int = 20, shard_points: int = 8192, wi
     def run(table):
         import pyarrow as pa
 
+        begin(__name__)
         ids = table.column("ids").to_pylist()
         order = np.argsort([i[0] for i in ids], kind="stable")
         graph = build(stack(table.column("vector"))[order].astype(np.float32), width=width, candidates=candidates)
@@ -222,6 +223,7 @@ def nearest(index: DataFrame, queries: DataFrame, *, k: int = 20, ef: int = 192,
     def run(graphs, asked):
         import pyarrow as pa
 
+        begin(__name__)
         names = ["query_id", "vec_id", "score"]
         if not len(graphs) or not len(asked):
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,38 @@ def wanted_parts(rows: int, per_part: int) -> int:
     return max(1, -(-int(rows) // per_part))
 
 
+# ---------------------------------------------------------------- memory of Python workers
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def cache(owner: str, clear: Callable[[], None]) -> None:
+    """Name what frees a module's cache in a worker process."""
+    _caches[owner] = clear
+
+
+def begin(owner: str) -> None:
+    """At the start of a task: a worker serves many operators, so free the other ones' caches and give unused memory back."""
+    import ctypes
+
+    import pyarrow as pa
+
+    for name, clear in _caches.items():
+        if name != owner:
+            clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Whole texts make Arrow batches of 10000 rows, the default, too large for small executors; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 # ---------------------------------------------------------------- hashing
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""

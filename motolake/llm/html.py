@@ -23,6 +23,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from motolake.llm.common import begin, small_batches
+
 #: Markup declarations, comments and tags; quoted attribute values may hold brackets.
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -259,10 +261,12 @@ def extract(page: str | None) -> str:
 
 def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars."""
+    small_batches(pages.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         for batch in batches:
             texts = [extract(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import ODD, PrefixHash, joined, materialize, mix64, segmented_arange, wanted_parts
+from motolake.llm.common import ODD, PrefixHash, begin, joined, materialize, mix64, segmented_arange, small_batches, wanted_parts
 from motolake.llm.components import connected_components
 
 SHINGLE = 5
@@ -139,6 +139,7 @@ def count_shared(columns: DataFrame, frequent_from: int | None = None) -> DataFr
     def run(table):
         import pyarrow as pa
 
+        begin(__name__)
         part = table.column("part")[0].as_py()
         id_blobs = table.column("ids").to_pylist()
         counts, keys = from_buffers(table.column("counts"), "<i4"), from_buffers(table.column("keys"), "<u4")
@@ -168,6 +169,7 @@ def add_shared(replies: DataFrame) -> DataFrame:
     def run(table):
         import pyarrow as pa
 
+        begin(__name__)
         ids, shared = from_buffers(table.column("ids"), "<i8"), from_buffers(table.column("shared"), "<i4")
         extra = np.frombuffer(b"".join(table.column("extra").to_pylist()), [("hi", "<i8"), ("lo", "<i8"), ("n", "<i4")])
         docs, place = np.unique(ids, return_inverse=True)
@@ -226,11 +228,13 @@ def product_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, cluster_shingles: int = 2 << 20, frequent: int = 400_000, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, wanted_parts(size, block_bytes))
 
     def columns_of_texts(batches):
+        begin(__name__)
         held: list[tuple[np.ndarray, np.ndarray, bytes]] = []
         weight, numbers = 0, batch_numbers()
 
@@ -258,6 +262,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def sets_of_texts(batches):
         import pyarrow as pa
 
+        begin(__name__)
         for batch in batches:
             for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["doc_id", "size", "shingles"])
@@ -271,6 +276,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = max(64, wanted_parts(total, frequent))
 
     def columns_of_sets(batches):
+        begin(__name__)
         numbers = batch_numbers()
         for batch in batches:
             ids, blobs = batch.column(0).to_numpy(), [np.frombuffer(b, "<u8") for b in batch.column(2).to_pylist()]
@@ -293,6 +299,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def prefixes(batches):
         import pyarrow as pa
 
+        begin(__name__)
         common = handle.value
         for batch in batches:
             rows: list[list[tuple]] = [[] for _ in range(parts)]
@@ -315,6 +322,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def star(table):
         import pyarrow as pa
 
+        begin(__name__)
         ids, both = from_buffers(table.column("ids"), "<i8"), from_buffers(table.column("counts"), "<i4").reshape(-1, 2)
         token = from_buffers(table.column("keys"), "<u8")
         doc, n = np.repeat(ids, both[:, 0]), np.repeat(both[:, 1].astype(np.int64), both[:, 0])
@@ -345,6 +353,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def multiply(table):
         import pyarrow as pa
 
+        begin(__name__)
         cluster, doc = table.column("cluster").to_numpy(), table.column("doc_id").to_numpy()
         blobs = table.column("shingles").to_pylist()
         order = np.lexsort((doc, cluster))

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import held_out
+from motolake.llm.common import begin, cache, held_out, small_batches
 
 DIMENSIONS = 1024
 SEED = 4
@@ -30,6 +30,9 @@ _letters: np.ndarray | None = None
 _vectors: dict[tuple[int, int], np.ndarray] = {}
 
 
+cache(__name__, _vectors.clear)
+
+
 def letters() -> np.ndarray:
     """For every code point whether it is a letter."""
     global _letters
@@ -96,10 +99,12 @@ def parts(texts: list[str], rows: int = 256, chars: int = 1 << 20) -> Iterator[t
 
 def learn_prototypes(rows: DataFrame, *, dimensions: int = DIMENSIONS, max_languages: int = 10_000) -> tuple[list[str], np.ndarray]:
     """(languages, prototypes) from rows of (text, lang); null languages and texts are left out."""
+    small_batches(rows.sparkSession)
 
     def gather(batches):
         import pyarrow as pa
 
+        begin(__name__)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -126,6 +131,7 @@ def learn_prototypes(rows: DataFrame, *, dimensions: int = DIMENSIONS, max_langu
     def add(table):
         import pyarrow as pa
 
+        begin(__name__)
         total = np.sum(np.stack(table.column("vector").to_pylist()), axis=0)
         return pa.table({"lang": table.column("lang")[:1], "salt": table.column("salt")[:1], "vector": pa.array([total.tolist()])})
 
@@ -157,6 +163,7 @@ def identify(docs: DataFrame, languages: list[str], prototypes: np.ndarray, *, i
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in parts(texts):

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import segmented_arange
+from motolake.llm.common import begin, segmented_arange, small_batches
 
 WIDTH = 192
 MAX_ROWS = 8191
@@ -441,10 +441,12 @@ def chunks(items: list[bytes], most: int) -> Iterator[tuple[int, int]]:
 
 def encode_images(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, media: each text's UTF-8 bytes, padded with spaces, as baseline JPEG."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [x.encode("utf-8", "surrogatepass") if x else b"" for x in batch.column(1).to_pylist()]
             for a, b in chunks(texts, 1 << 20):
@@ -466,6 +468,7 @@ def decode_images(media: DataFrame, *, media_col: str = "media", keep: tuple[str
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         for batch in batches:
             files = [x or b"" for x in batch.column(len(keep)).to_pylist()]
             for a, b in chunks(files, 1 << 20):

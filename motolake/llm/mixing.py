@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motolake.llm.common import materialize, wanted_parts
+from motolake.llm.common import begin, materialize, wanted_parts
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -150,6 +150,7 @@ def draw_blocks(spark, plan: list[dict], *, block_words: int = 4096, shard_block
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         tree = SplittingTree(quotas, shards, seed)
         ends = np.cumsum(quotas)
         for batch in batches:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import wanted_parts
+from motolake.llm.common import begin, cache, small_batches, wanted_parts
 
 #: White space and capitals that the tokenizer and Python treat differently, and the marks of special tokens.
 ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u0130\u03a3\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]|<\|")
@@ -41,7 +41,7 @@ class WordTokenizer:
 
     _own: dict[str, WordTokenizer] = {}
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -125,6 +125,9 @@ class WordTokenizer:
         return out
 
 
+cache(__name__, WordTokenizer._own.clear)
+
+
 def cut(ids: bytes, end_id: int, capacity: int) -> Iterator[tuple[int, int, bytes]]:
     """(start, length, ids) of the pieces of one document."""
     ids += int(end_id).to_bytes(4, "little")
@@ -136,12 +139,14 @@ def cut(ids: bytes, end_id: int, capacity: int) -> Iterator[tuple[int, int, byte
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, with keep_ids, token_ids (binary, little-endian u32)."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", token_ids binary" if keep_ids else "")
 
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         tokenizer = WordTokenizer.of(tokenizer_path)
         for batch in batches:
             rows: list[tuple] = []
@@ -214,6 +219,7 @@ def place(pieces: DataFrame, *, capacity: int = 4096, shards: int = 1, keep: tup
     def run(table):
         import pyarrow as pa
 
+        begin(__name__)
         shard = table.column("shard")[0].as_py()
         length = table.column("length").to_numpy()
         null = -(1 << 63)

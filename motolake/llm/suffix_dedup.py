@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import PrefixHash, joined, segmented_arange, wanted_parts, with_row_ids
+from motolake.llm.common import PrefixHash, begin, joined, segmented_arange, small_batches, wanted_parts, with_row_ids
 
 LENGTH = 100
 GRAM = 24
@@ -264,6 +264,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
         return blocks(found, part_of(found["doc"], parts), 1)
 
     def index_texts(batches):
+        begin(__name__)
         held: list[np.ndarray] = []
         weight = 0
 
@@ -297,6 +298,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
             yield out()
 
     def scan_suffixes(table):
+        begin(__name__)
         kind, body = table.column("kind").to_pylist(), table.column("body").to_pylist()
         rows = [(t, 1, t, b) for t, k, b in zip(table.column("target").to_pylist(), kind, body, strict=True) if k == 1]
         family = IndexFamily()
@@ -311,6 +313,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
     first = sent.groupBy("part").applyInArrow(scan_suffixes, BLOCKS)
 
     def look_closer(texts_of, marks):
+        begin(__name__)
         body = [np.frombuffer(b, SPAN) for b in marks.column("body").to_pylist()]
         if not body:
             return table_of([])
@@ -358,6 +361,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
     closer = texts.groupBy("part").cogroup(first.groupBy("part")).applyInArrow(look_closer, BLOCKS)
 
     def scan_windows(table):
+        begin(__name__)
         kind, body = table.column("kind").to_pylist(), table.column("body").to_pylist()
         rows = [(t, 1, t, b) for t, k, b in zip(table.column("target").to_pylist(), kind, body, strict=True) if k == 1]
         later = IndexFamily().add_all(decode(b, WINDOW) for k, b in zip(kind, body, strict=True) if k == 0)
@@ -371,6 +375,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (starts and ends of removed runs) and, with_kept, kept (the bytes left)."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
     own, name = with_row_ids(docs)
     if name != "doc_id":
@@ -383,6 +388,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def cut(texts_of, marks_of):
         import pyarrow as pa
 
+        begin(__name__)
         body = [np.frombuffer(b, SPAN) for b in marks_of.column("body").to_pylist()]
         found = runs(np.concatenate(body)) if body else np.zeros(0, SPAN)
         ids = texts_of.column("doc_id").to_numpy()

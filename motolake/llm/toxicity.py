@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motolake.llm.common import held_out, materialize
+from motolake.llm.common import begin, held_out, materialize, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
@@ -47,6 +47,7 @@ def count_words(rows: DataFrame, flush: int = 200_000) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         counts: tuple[Counter, Counter] = (Counter(), Counter())
 
         def out():
@@ -138,6 +139,7 @@ def differences(docs: DataFrame, table: DataFrame, *, id_col: str = "doc_id", te
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         ratios = Ratios(handle.value)
         for batch in batches:
             out = []
@@ -156,6 +158,7 @@ def _joined_differences(source: DataFrame, table: DataFrame, keep: tuple[str, ..
     def run(batches):
         import pyarrow as pa
 
+        begin(__name__)
         for batch in batches:
             counts = [Counter(words_of(t)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))], ["key", "words", "times"])
@@ -203,6 +206,7 @@ def fit_curve(values: DataFrame) -> tuple[float, float] | None:
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(score table, labelled ids of the learning folds with their class)."""
+    small_batches(docs.sparkSession)
     known = labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null").filter(~held_out("doc_id"))
     counts = count_words(rows.join(known.hint("shuffle_hash"), "doc_id"))
