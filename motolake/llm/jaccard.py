@@ -343,8 +343,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     inside = materialize(sets.join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"), "jaccard-clusters")
     weights = inside.groupBy("cluster").agg(F.sum("size").alias("weight"))
     bins = wanted_parts(inside.agg(F.sum("size")).first()[0] or 0, cluster_shingles)
-    heavy = weights.filter(F.col("weight") > cluster_shingles).select("cluster", F.ceil(F.col("weight") * 2 / cluster_shingles).cast("int").alias("blocks"))
-    inside = inside.join(heavy, "cluster", "left")
+    heavy = materialize(weights.filter(F.col("weight") > cluster_shingles).select("cluster", F.ceil(F.col("weight") * 2 / cluster_shingles).cast("int").alias("blocks")), "jaccard-heavy")
+    # a heavy cluster is a hot key of this join; each holds over cluster_shingles of all shingles, so they are few, and beyond that Spark splits the key
+    inside = inside.join(F.broadcast(heavy) if heavy.count() <= 100_000 else heavy, "cluster", "left")
     light = inside.filter("blocks is null").withColumn("task", F.concat(F.lit("b"), F.pmod(F.xxhash64("cluster"), F.lit(bins))))
     mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long"))
     cut = inside.filter("blocks is not null").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
