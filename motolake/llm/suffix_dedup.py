@@ -172,36 +172,57 @@ def shared_grams(entries: np.ndarray) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- compact records
+def shrink(values: np.ndarray) -> bytes:
+    """Integers of at least 0, most of them small: two bytes each, those of 65535 and more listed besides."""
+    far = np.flatnonzero(values >= 65535)
+    return np.uint32(len(far)).tobytes() + far.astype("<u4").tobytes() + values[far].astype("<i8").tobytes() + np.minimum(values, 65535).astype("<u2").tobytes()
+
+
+class Reader:
+    def __init__(self, body: bytes):
+        self.body, self.at = body, 0
+
+    def take(self, kind: str, count: int) -> np.ndarray:
+        out = np.frombuffer(self.body, kind, count, self.at)
+        self.at += out.nbytes
+        return out
+
+    def grow(self, count: int) -> np.ndarray:
+        """What shrink made."""
+        n = int(self.take("<u4", 1)[0])
+        far, values = self.take("<u4", n), self.take("<i8", n)
+        out = self.take("<u2", count).astype(np.int64)
+        out[far] = values
+        return out
+
+
 def encode(records: np.ndarray) -> bytes:
-    """Records without what follows from their order: documents once, places as differences."""
+    """Records without what follows from their order: documents and places as differences."""
     records = records[np.lexsort((records["at"], records["doc"]))]
     docs, first, counts = np.unique(records["doc"], return_index=True, return_counts=True)
     step = np.diff(records["at"].astype(np.int64), prepend=0)
     step[first] = records["at"][first]
-    far = np.flatnonzero(step >= 65535)
-    parts = [np.array([len(records), len(docs), len(far)], "<u4"), docs, counts.astype("<u4"), far.astype("<u4"), step[far].astype("<i8"), np.minimum(step, 65535).astype("<u2"), records["key"]]
+    base = docs[:1] if len(docs) else np.zeros(1, np.int64)
+    # differences of ids may pass 63 bits: as unsigned numbers they don't
+    gaps = np.diff(docs.astype(np.uint64), prepend=base.astype(np.uint64))
+    wide = bool((gaps >= np.uint64(1 << 62)).any())
+    parts = [np.array([len(records), len(docs), wide], "<u4").tobytes(), base.tobytes(), gaps.tobytes() if wide else shrink(gaps.astype(np.int64)), shrink(counts), shrink(step), records["key"].tobytes()]
     if "gram" in records.dtype.names:
-        parts += [records["gram"], records["windows"], records["many"]]
-    return b"".join(x.tobytes() for x in parts)
+        parts += [records["gram"].tobytes(), records["windows"].tobytes(), records["many"].tobytes()]
+    return b"".join(parts)
 
 
 def decode(body: bytes, kind: np.dtype) -> np.ndarray:
-    n, m, k = np.frombuffer(body, "<u4", 3).tolist()
-    at = 12
-
-    def take(dtype: str, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(body, dtype, count, at)
-        at += out.nbytes
-        return out
-
-    docs, counts, far, far_step = take("<i8", m), take("<u4", m).astype(np.int64), take("<u4", k), take("<i8", k)
-    step = take("<u2", n).astype(np.int64)
-    step[far] = far_step
+    read = Reader(body)
+    n, m, wide = read.take("<u4", 3).tolist()
+    base = read.take("<i8", 1)
+    gaps = read.take("<u8", m) if wide else read.grow(m).astype(np.uint64)
+    docs = (np.cumsum(gaps, dtype=np.uint64) + base.astype(np.uint64)).astype(np.int64)
+    counts, step = read.grow(m), read.grow(n)
     out = np.zeros(n, kind)
-    out["key"] = take("<u8", n)
+    out["key"] = read.take("<u8", n)
     if "gram" in out.dtype.names:
-        out["gram"], out["windows"], out["many"] = take("<u4", n), take("<u2", n), take("u1", n)
+        out["gram"], out["windows"], out["many"] = read.take("<u4", n), read.take("<u2", n), read.take("u1", n)
     out["doc"] = np.repeat(docs, counts)
     total = np.cumsum(step)
     begin = np.cumsum(counts) - counts
