@@ -47,7 +47,7 @@ def ground(facts_: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFram
     """Adds instruction: the task's template, the default one for other tasks, with its fields filled."""
     table = facts_.sparkSession.createDataFrame(list(templates.items()), "L1_task string, _template string")
     out = facts_.join(F.broadcast(table), "L1_task", "left")
-    fields = {"grasp_type": F.col("grasp_type"), "dominant_hand": F.col("dominant_hand"), "object_class": F.col("object_class"), "target_location": F.col("target_location"), "outcome": F.col("outcome"), "task": F.col("L1_task"), "duration": F.format_number(F.bround("duration_sec", 1), "0.0")}
+    fields = {"grasp_type": F.col("grasp_type"), "dominant_hand": F.col("dominant_hand"), "object_class": F.col("object_class"), "target_location": F.col("target_location"), "outcome": F.col("outcome"), "task": F.col("L1_task"), "duration": F.format_string("%.1f", F.bround("duration_sec", 1))}
     return out.withColumn("instruction", strings.fill(F.coalesce("_template", F.lit(templates["default"])), fields)).drop("_template")
 
 

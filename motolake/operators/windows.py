@@ -135,7 +135,7 @@ def gap_merge(segs: DataFrame, keys: list[str], label: str, start: str, end: str
 
 def ordered_fold(df: DataFrame, keys: list[str], order: list[str], columns: list[str], zero: Column, step, finish=None, out: str = "folded") -> DataFrame:
     """Left fold over a key's rows in order, for results that depend on earlier results."""
-    item = F.array_sort(F.collect_list(F.struct(*order, *columns)))
+    item = F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order, *columns]))))
     args = (item, zero, step) if finish is None else (item, zero, step, finish)
     return df.groupBy(*keys).agg(F.aggregate(*args).alias(out))
 
