@@ -309,7 +309,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
             for a, b in chunks(offsets):
                 text, at, count, grams, whole = anchored(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, gram)
                 records = np.zeros(len(text), SUFFIX)
-                records["gram"], records["key"], records["doc"], records["at"], records["windows"] = grams >> np.uint64(32), whole, ids[a:b][text], at, count
+                records["gram"], records["key"], records["doc"], records["at"], records["windows"] = grams & np.uint64(0xFFFFFFFF), whole, ids[a:b][text], at, count  # anchors are small in their upper bits
                 held.append(records)
                 weight += int(offsets[b] - offsets[a])
                 if weight > BATCH:
