@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PI = 3.141592653589793
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once: expressions are trees, so a value used twice would be there twice, and nested uses would multiply."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def let2(a: Column, b: Column, body: Callable[[Column, Column], Column]) -> Column:
+    return let(a, lambda x: let(b, lambda y: body(x, y)))
+
+
 def vector(*xs) -> Column:
     return F.array(*(x if isinstance(x, Column) else F.lit(float(x)) for x in xs))
 
@@ -21,7 +32,7 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def norm(v: Column) -> Column:
-    return F.sqrt(dot(v, v))
+    return let(v, lambda x: F.sqrt(dot(x, x)))
 
 
 def minus(a: Column, b: Column) -> Column:
@@ -40,8 +51,8 @@ def distance(a: Column, b: Column) -> Column:
     return norm(minus(a, b))
 
 
-def cross(a: Column, b: Column) -> Column:
-    return vector(at(a, 1) * at(b, 2) - at(a, 2) * at(b, 1), at(a, 2) * at(b, 0) - at(a, 0) * at(b, 2), at(a, 0) * at(b, 1) - at(a, 1) * at(b, 0))
+def cross(u: Column, v: Column) -> Column:
+    return let2(u, v, lambda a, b: vector(at(a, 1) * at(b, 2) - at(a, 2) * at(b, 1), at(a, 2) * at(b, 0) - at(a, 0) * at(b, 2), at(a, 0) * at(b, 1) - at(a, 1) * at(b, 0)))
 
 
 def midpoint(a: Column, b: Column) -> Column:
@@ -60,64 +71,81 @@ def wrap_angle(x: Column) -> Column:
 
 def joint_angle(a: Column, b: Column, c: Column) -> Column:
     """Angle at b; pi if a leg has no length."""
-    u, v = minus(a, b), minus(c, b)
-    size = norm(u) * norm(v)
-    return F.when(size == 0, F.lit(PI)).otherwise(F.acos(clip(F.try_divide(dot(u, v), size), -1.0, 1.0)))
+
+    def angle(u: Column, v: Column) -> Column:
+        return let(norm(u) * norm(v), lambda size: F.when(size == 0, F.lit(PI)).otherwise(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(dot(u, v), size))))))
+
+    return let(b, lambda m: let2(minus(a, m), minus(c, m), angle))
 
 
 # ---------------------------------------------------------------- rotations
 def quaternion_to_matrix(q: Column) -> Column:
     """w, x, y, z to nine numbers, row by row."""
-    w, x, y, z = (at(q, i) for i in range(4))
-    return vector(1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y), 2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x), 2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y))
+
+    def body(v: Column) -> Column:
+        w, x, y, z = (at(v, i) for i in range(4))
+        return vector(1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y), 2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x), 2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y))
+
+    return let(q, body)
 
 
 def matrix_to_quaternion(m: Column) -> Column:
     """By the largest of the four squared components, which keeps the root well away from 0."""
-    a, b, c, d, e, f, g, h, i = (at(m, k) for k in range(9))
-    w, x, y, z = 1 + a + e + i, 1 + a - e - i, 1 - a + e - i, 1 - a - e + i
-    best = F.greatest(w, x, y, z)
-    s = 2 * F.sqrt(best)
-    return (
-        F.when(best == w, vector(s / 4, (h - f) / s, (c - g) / s, (d - b) / s))
-        .when(best == x, vector((h - f) / s, s / 4, (b + d) / s, (c + g) / s))
-        .when(best == y, vector((c - g) / s, (b + d) / s, s / 4, (f + h) / s))
-        .otherwise(vector((d - b) / s, (c + g) / s, (f + h) / s, s / 4))
-    )
+
+    def body(v: Column) -> Column:
+        a, b, c, d, e, f, g, h, i = (at(v, k) for k in range(9))
+        squares = F.array(1 + a + e + i, 1 + a - e - i, 1 - a + e - i, 1 - a - e + i)
+
+        def by_largest(four: Column) -> Column:
+            top = F.array_max(four)
+            s = 2 * F.sqrt(top)
+            return (
+                F.when(at(four, 0) == top, vector(s / 4, (h - f) / s, (c - g) / s, (d - b) / s))
+                .when(at(four, 1) == top, vector((h - f) / s, s / 4, (b + d) / s, (c + g) / s))
+                .when(at(four, 2) == top, vector((c - g) / s, (b + d) / s, s / 4, (f + h) / s))
+                .otherwise(vector((d - b) / s, (c + g) / s, (f + h) / s, s / 4))
+            )
+
+        return F.when(v.isNotNull(), let(squares, by_largest))
+
+    return let(m, body)
 
 
 def multiply(p: Column, q: Column) -> Column:
-    a, b, c, d = (at(p, i) for i in range(4))
-    w, x, y, z = (at(q, i) for i in range(4))
-    return vector(a * w - b * x - c * y - d * z, a * x + b * w + c * z - d * y, a * y - b * z + c * w + d * x, a * z + b * y - c * x + d * w)
+    def body(u: Column, v: Column) -> Column:
+        a, b, c, d = (at(u, i) for i in range(4))
+        w, x, y, z = (at(v, i) for i in range(4))
+        return vector(a * w - b * x - c * y - d * z, a * x + b * w + c * z - d * y, a * y - b * z + c * w + d * x, a * z + b * y - c * x + d * w)
+
+    return let2(p, q, body)
 
 
 def conjugate(q: Column) -> Column:
-    return vector(at(q, 0), -at(q, 1), -at(q, 2), -at(q, 3))
+    return F.transform(q, lambda x, i: F.when(i == 0, x).otherwise(-x))
 
 
 def normalise(q: Column) -> Column:
-    n = norm(q)
-    return F.transform(q, lambda x: F.try_divide(x, n))
+    return let(q, lambda v: let(norm(v), lambda n: F.transform(v, lambda x: F.try_divide(x, n))))
 
 
 def rotate(q: Column, v: Column) -> Column:
-    r = multiply(multiply(q, F.concat(F.array(F.lit(0.0)), v)), conjugate(q))
-    return F.slice(r, 2, 3)
+    return let(q, lambda r: F.slice(multiply(multiply(r, F.concat(F.array(F.lit(0.0)), v)), conjugate(r)), 2, 3))
 
 
 def axis_angle_to_quaternion(v: Column) -> Column:
-    angle = norm(v)
-    s = F.when(angle < 1e-12, F.lit(0.5)).otherwise(F.try_divide(F.sin(angle / 2), angle))
-    return F.concat(F.array(F.cos(angle / 2)), scale(v, s))
+    def body(u: Column, angle: Column) -> Column:
+        s = F.when(angle < 1e-12, F.lit(0.5)).otherwise(F.try_divide(F.sin(angle / 2), angle))
+        return F.concat(F.array(F.cos(angle / 2)), scale(u, s))
+
+    return let(v, lambda u: let(norm(u), lambda n: body(u, n)))
 
 
 def matrix_to_axis_angle(m: Column) -> Column:
-    q = matrix_to_quaternion(m)
-    q = F.when(at(q, 0) < 0, F.transform(q, lambda x: -x)).otherwise(q)
-    imaginary = F.slice(q, 2, 3)
-    n = norm(imaginary)
-    return scale(imaginary, F.when(n < 1e-12, F.lit(2.0)).otherwise(F.try_divide(2 * F.atan2(n, at(q, 0)), n)))
+    def body(q: Column) -> Column:
+        upper = F.when(at(q, 0) < 0, F.transform(q, lambda x: -x)).otherwise(q)
+        return let(upper, lambda u: let(norm(F.slice(u, 2, 3)), lambda n: scale(F.slice(u, 2, 3), F.when(n < 1e-12, F.lit(2.0)).otherwise(F.try_divide(2 * F.atan2(n, at(u, 0)), n)))))
+
+    return let(matrix_to_quaternion(m), body)
 
 
 def pose(position: Column, quaternion: Column) -> Column:
@@ -125,12 +153,11 @@ def pose(position: Column, quaternion: Column) -> Column:
 
 
 def inverse_pose(p: Column) -> Column:
-    back = conjugate(p["quaternion_wxyz"])
-    return pose(F.transform(rotate(back, p["position_m"]), lambda x: -x), back)
+    return let(p, lambda a: let(conjugate(a["quaternion_wxyz"]), lambda back: pose(F.transform(rotate(back, a["position_m"]), lambda x: -x), back)))
 
 
 def compose(a: Column, b: Column) -> Column:
-    return pose(plus(rotate(a["quaternion_wxyz"], b["position_m"]), a["position_m"]), normalise(multiply(a["quaternion_wxyz"], b["quaternion_wxyz"])))
+    return let2(a, b, lambda x, y: pose(plus(rotate(x["quaternion_wxyz"], y["position_m"]), x["position_m"]), normalise(multiply(x["quaternion_wxyz"], y["quaternion_wxyz"]))))
 
 
 def relative(a: Column, b: Column) -> Column:
@@ -149,35 +176,41 @@ def ego_contaminated(camera: Column) -> Column:
 
 def matrix4(p: Column) -> Column:
     """Sixteen numbers, row by row."""
-    r, t = quaternion_to_matrix(p["quaternion_wxyz"]), p["position_m"]
-    return vector(*(x for row in range(3) for x in (at(r, 3 * row), at(r, 3 * row + 1), at(r, 3 * row + 2), at(t, row))), 0, 0, 0, 1)
+
+    def body(r: Column, t: Column) -> Column:
+        return vector(*(x for row in range(3) for x in (at(r, 3 * row), at(r, 3 * row + 1), at(r, 3 * row + 2), at(t, row))), 0, 0, 0, 1)
+
+    return let2(quaternion_to_matrix(p["quaternion_wxyz"]), p["position_m"], body)
 
 
 def from_matrix4(m: Column) -> Column:
-    r = vector(*(at(m, k) for k in (0, 1, 2, 4, 5, 6, 8, 9, 10)))
-    return pose(vector(at(m, 3), at(m, 7), at(m, 11)), matrix_to_quaternion(r))
+    return let(m, lambda v: pose(vector(at(v, 3), at(v, 7), at(v, 11)), matrix_to_quaternion(vector(*(at(v, k) for k in (0, 1, 2, 4, 5, 6, 8, 9, 10))))))
+
+
+def _columns(x: Column, y: Column, z: Column) -> Column:
+    """Nine numbers, row by row, of a matrix with these columns."""
+    return let2(x, y, lambda a, b: let(z, lambda c: vector(*(at(v, row) for row in range(3) for v in (a, b, c)))))
 
 
 def palm_quaternion(points: Column, wrist: int = 0, index: int = 5, pinky: int = 17) -> Column:
     """Frame of the palm: x to the index knuckle, z its normal; null where the points span no plane."""
-    x, aux = minus(at(points, index), at(points, wrist)), minus(at(points, pinky), at(points, wrist))
-    nx = norm(x)
-    x = scale(x, F.try_divide(F.lit(1.0), nx))
-    z = cross(x, aux)
-    nz = norm(z)
-    z = scale(z, F.try_divide(F.lit(1.0), nz))
-    y = cross(z, x)
-    m = vector(*(at(c, row) for row in range(3) for c in (x, y, z)))
-    return F.when((F.size(points) > pinky) & (nx >= 1e-6) & (norm(aux) >= 1e-6) & (nz >= 1e-6), matrix_to_quaternion(m))
+
+    def frame(x: Column, aux: Column) -> Column:
+        flat = lambda z: norm(z) < 1e-6
+        made = lambda z: let(normalise(z), lambda n: matrix_to_quaternion(_columns(x, cross(n, x), n)))
+        return let(cross(x, aux), lambda z: F.when(~flat(z), made(z)))
+
+    whole = (F.size(points) > pinky) & (norm(minus(F.get(points, index), F.get(points, wrist))) >= 1e-6) & (norm(minus(F.get(points, pinky), F.get(points, wrist))) >= 1e-6)
+    return F.when(whole, let2(normalise(minus(F.get(points, index), F.get(points, wrist))), minus(F.get(points, pinky), F.get(points, wrist)), frame))
 
 
 def rot6d_to_matrix(v: Column) -> Column:
     """Two columns made orthonormal, the third their product; row by row."""
-    a, b = F.slice(v, 1, 3), F.slice(v, 4, 3)
-    x = normalise(a)
-    y = normalise(minus(b, scale(x, dot(x, b))))
-    z = cross(x, y)
-    return vector(*(at(c, row) for row in range(3) for c in (x, y, z)))
+
+    def body(x: Column, b: Column) -> Column:
+        return let(normalise(minus(b, scale(x, dot(x, b)))), lambda y: _columns(x, y, cross(x, y)))
+
+    return let(v, lambda s: let2(normalise(F.slice(s, 1, 3)), F.slice(s, 4, 3), body))
 
 
 # ---------------------------------------------------------------- cameras
@@ -205,6 +238,10 @@ def project(points: Column, k: Column, sx: Column, sy: Column) -> Column:
 # ---------------------------------------------------------------- boxes and masks
 def iou(a: Column, b: Column) -> Column:
     """Of two boxes; 0 if neither has an area."""
+    return let2(a, b, _iou)
+
+
+def _iou(a: Column, b: Column) -> Column:
     w = F.greatest(F.least(at(a, 2), at(b, 2)) - F.greatest(at(a, 0), at(b, 0)), F.lit(0.0))
     h = F.greatest(F.least(at(a, 3), at(b, 3)) - F.greatest(at(a, 1), at(b, 1)), F.lit(0.0))
     area = lambda r: F.greatest(at(r, 2) - at(r, 0), F.lit(0.0)) * F.greatest(at(r, 3) - at(r, 1), F.lit(0.0))
@@ -244,6 +281,10 @@ def mask_iou(a: Column, b: Column) -> Column:
 
 def mask_box(pixels: Column, width: Column, height: Column) -> Column:
     """Box and centroid of a column-major mask, as shares of its sides, to six places; null if it is empty."""
+    return let(pixels, lambda p: _mask_box(p, width, height))
+
+
+def _mask_box(pixels: Column, width: Column, height: Column) -> Column:
     on = F.filter(F.transform(pixels, lambda p, i: F.when(p, i)), lambda i: i.isNotNull())
     xs, ys = F.transform(on, lambda i: F.floor(i / height)), F.transform(on, lambda i: F.pmod(i.cast("long"), height.cast("long")))
     mean = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x) / F.size(v)
@@ -275,6 +316,10 @@ def nearest_object(tip: Column, objects: Column, field: str = "centroid_norm") -
 # ---------------------------------------------------------------- hands
 def finger_curl(points: Column) -> Column:
     """Map of finger to one less the ratio of chord and path over its joints, of the four fingers without the thumb."""
+    return let(points, _finger_curl)
+
+
+def _finger_curl(points: Column) -> Column:
     chains = {"index": (5, 6, 7, 8), "middle": (9, 10, 11, 12), "ring": (13, 14, 15, 16), "pinky": (17, 18, 19, 20)}
     out = []
     for name, chain in chains.items():
@@ -285,8 +330,7 @@ def finger_curl(points: Column) -> Column:
 
 
 def grasp_signal(points: Column) -> Column:
-    curls = F.map_values(finger_curl(points))
-    return F.aggregate(curls, F.lit(0.0), lambda s, x: s + x) / F.size(curls)
+    return F.aggregate(F.map_values(finger_curl(points)), F.lit(0.0), lambda s, x: s + x) / 4
 
 
 def near_object(hand_box: Column, objects: Column, least: float = 0.05) -> Column:

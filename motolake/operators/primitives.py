@@ -72,8 +72,8 @@ def finger_angles(landmarks: Column) -> Column:
 
 def palm_angles(landmarks: Column) -> Column:
     """Rotation and elevation of the vector from the wrist to the middle knuckle."""
-    v = geo.minus(F.get(landmarks, 9), F.get(landmarks, 0))
-    return F.struct(F.atan2(geo.at(v, 1), geo.at(v, 0)).alias("roll"), F.atan2(geo.at(v, 2), F.hypot(geo.at(v, 0), geo.at(v, 1))).alias("pitch"))
+    body = lambda v: F.struct(F.atan2(geo.at(v, 1), geo.at(v, 0)).alias("roll"), F.atan2(geo.at(v, 2), F.hypot(geo.at(v, 0), geo.at(v, 1))).alias("pitch"))
+    return geo.let(geo.minus(F.get(landmarks, 9), F.get(landmarks, 0)), body)
 
 
 def wrist_velocity(df: DataFrame, keys: list[str], frame: str, x: str, y: str, dt: str) -> DataFrame:
@@ -102,14 +102,14 @@ def features(df: DataFrame, keys: list[str], frame: str, s: Settings = DEFAULT)
     out = out.withColumn("_both", F.coalesce(F.col("_seen") & F.col("_before.seen"), F.lit(False))).withColumn("_then", F.when(F.col("_both"), then))
     change = F.zip_with(finger_angles(F.col("_hand.landmarks")), finger_angles(F.col("_then.landmarks")), lambda a, b: a - b)
     out = out.withColumn("_change", F.when(F.col("_hand.landmarks").isNotNull() & F.col("_then.landmarks").isNotNull(), change))
-    now, then_angles = palm_angles(F.col("_hand.landmarks")), palm_angles(F.col("_then.landmarks"))
     enough = (F.size("_hand.landmarks") > 9) & (F.size("_then.landmarks") > 9)
-    rate = lambda part: F.when(enough, F.degrees(geo.wrap_angle(now[part] - then_angles[part])) * F.col("fps"))
+    out = out.withColumn("_now_palm", palm_angles(F.col("_hand.landmarks"))).withColumn("_then_palm", palm_angles(F.col("_then.landmarks")))
+    rate = lambda part: F.when(enough, F.degrees(geo.wrap_angle(F.col(f"_now_palm.{part}") - F.col(f"_then_palm.{part}"))) * F.col("fps"))
     out = out.withColumn("rotation_deg_s", rate("roll")).withColumn("flexion_deg_s", rate("pitch"))
     known = F.col("_seen") & F.col("derived").isNotNull()
     out = out.withColumn("_known", F.coalesce(known, F.lit(False))).withColumn("_speed", F.when(F.col("_known"), F.coalesce("derived.wrist_velocity_magnitude", F.lit(0.0))).otherwise(0.0))
-    tips = F.transform(F.filter(F.array(*(F.get(F.col("_hand.landmarks"), i) for i in FINGERTIPS)), lambda p: p.isNotNull()), lambda p: p)
-    nearest = F.when(F.size(tips) > 0, geo.nearest_object(geo.mean_point(tips), F.col("objects")))
+    tips = F.filter(F.array(*(F.get(F.col("_hand.landmarks"), i) for i in FINGERTIPS)), lambda p: p.isNotNull())
+    nearest = geo.let(tips, lambda p: F.when(F.size(p) > 0, geo.let(geo.mean_point(p), lambda m: geo.nearest_object(m, F.col("objects")))))
     return out.withColumn("_nearest", F.when(F.col("objects").isNotNull() & F.col("_hand").isNotNull(), nearest))
 
 
