@@ -42,28 +42,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Characters of which only some bytes repeat go whole. Documents without a repeat come back as they were, null and empty ones too.
     """
     docs, own = with_row_ids(docs.select(*COLUMNS))
-    found = suffix_dedup.remove_repeats(docs, id_col=own, with_kept=False).filter("n_removed > 0")
-    found = found.select(F.col("doc_id").alias("cut_id"), "n_bytes", "n_removed", F.arrays_zip("starts", "ends").alias("cuts"))
-
-    def cut(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            texts = []
-            for text, cuts in zip(batch.column(1).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                if cuts:
-                    raw, at, kept = text.encode("utf-8"), 0, []
-                    for c in cuts:
-                        kept.append(raw[at : c["starts"]].decode("utf-8", "ignore"))
-                        at = c["ends"]
-                    text = "".join([*kept, raw[at:].decode("utf-8", "ignore")])
-                texts.append(text)
-            columns = batch.columns
-            sizes = [None if t is None else len(t) for t in texts]
-            yield pa.RecordBatch.from_arrays([columns[0], pa.array(texts, pa.string()), columns[2], columns[3], pa.array(sizes, pa.int64())], list(COLUMNS))
-
-    whole = docs.join(found, docs[own] == found["cut_id"], "left").filter("n_removed is null or n_removed < n_bytes")
-    return whole.select(*COLUMNS, "cuts").mapInArrow(cut, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select(F.col(own).alias("own_id"), F.col("doc_id").alias("old_id"), "text", "lang", "source")
+    found = suffix_dedup.remove_repeats(docs, id_col="own_id", kept="text", keep=("old_id", "lang", "source")).filter("n_removed = 0 or n_removed < n_bytes")
+    return found.select(F.col("old_id").alias("doc_id"), F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

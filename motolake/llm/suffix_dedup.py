@@ -329,7 +329,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
         look = index[shared_grams(index) | np.isin(index["gram"], told)]
         return table_of(rows + to_parts(np.concatenate([np.zeros(0, SPAN), *(spans(x, 1) for x in later), spans(look, 0)])))
 
-    texts = docs.select(part_column(F.col("doc_id"), parts).alias("part"), "doc_id", "text")
+    texts = docs.withColumn("part", part_column(F.col("doc_id"), parts))
     sent = texts.select("doc_id", "text").mapInArrow(index_texts, BLOCKS)
     first = sent.groupBy("part").applyInArrow(scan_suffixes, BLOCKS)
 
@@ -394,17 +394,23 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
     return texts, second, parts
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, with_kept: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (starts and ends of removed runs) and, with_kept, kept (the bytes left)."""
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, kept: str | None = "bytes", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (starts and ends of removed runs), what is left and columns to keep.
+
+    kept says what is left: as "bytes" (kept), as "text" (kept_text, without characters of which a byte
+    went; null where the text was), or None for neither. keep names further columns of docs, other than
+    these.
+    """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep).filter("doc_id is not null")
     own, name = with_row_ids(docs)
     if name != "doc_id":
-        found = remove_repeats(own.select(name, "text"), id_col=name, length=length, gram=gram, block_bytes=block_bytes, with_kept=with_kept)
+        found = remove_repeats(own.drop("doc_id"), id_col=name, length=length, gram=gram, block_bytes=block_bytes, kept=kept, keep=keep)
         return found.withColumnRenamed("doc_id", name).join(own.select(name, "doc_id"), name).select(*found.columns)
     texts, marks, _ = find_repeats(docs, length=length, gram=gram, block_bytes=block_bytes)
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends"] + (["kept"] if with_kept else [])
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>" + (", kept binary" if with_kept else "")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends"] + {"bytes": ["kept"], "text": ["kept_text"], None: []}[kept]
+    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>" + {"bytes": ", kept binary", "text": ", kept_text string", None: ""}[kept] + "".join(f", {c} {types[c]}" for c in keep)
 
     def cut(texts_of, marks_of):
         import pyarrow as pa
@@ -425,20 +431,24 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 else:
                     starts.append(s)
                     ends.append(e)
-            kept, at = [], 0
+            pieces, at = [], 0
             for s, e in zip(starts, ends, strict=True):
-                kept.append(raw[at:s])
+                pieces.append(raw[at:s])
                 at = e
-            kept.append(raw[at:])
-            left = b"".join(kept)
-            row = [i, len(raw), len(raw) - len(left), len(starts), hashlib.sha256(left).hexdigest(), starts, ends, left]
-            for column, value in zip(out, row, strict=False):
+            pieces.append(raw[at:])
+            left = b"".join(pieces)
+            row = [i, len(raw), len(raw) - len(left), len(starts), hashlib.sha256(left).hexdigest(), starts, ends]
+            if kept == "bytes":
+                row.append(left)
+            elif kept == "text":
+                row.append(text if not starts else "".join(p.decode("utf-8", "ignore") for p in pieces))
+            for column, value in zip(out, row, strict=True):
                 column.append(value)
-        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2 + [pa.binary()]
-        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, out, kinds, strict=False)})
+        kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2 + {"bytes": [pa.binary()], "text": [pa.string()], None: []}[kept]
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, out, kinds, strict=True)} | {c: texts_of.column(c) for c in keep})
 
     return texts.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(cut, schema)
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_kept=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), kept=None).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
