@@ -6,7 +6,8 @@ first. For each node left, with C characters, T tags, LC characters and LT tags
 composite text density is C / T times the logarithm of (C / LC) (T / LT) to the base
 ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body. The node with the largest sum of its children's
 densities is chosen; the smallest density on the path from the body to it is the threshold which other
-subtrees must reach to be kept beside it. Inside an article or main element the whole element is the text.
+subtrees must reach to be kept beside it; blocks of links inside it go. Inside an article or main element the
+whole element is the text.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one
 space in page order. Null or empty pages have an empty text. Any markup is read without failing: unknown,
@@ -227,6 +228,17 @@ def select(order: list[Node]) -> list[Node]:
     return sorted(chosen, key=lambda x: x.start)
 
 
+def linked(node: Node, parent: Node) -> bool:
+    """Whether a block outside articles is a list of links: two or more, with most of its characters."""
+    if node.tag in INLINE or node.link or node.link_tags < 2 or node.link_chars * 2 <= node.chars:
+        return False
+    while parent is not None:
+        if parent.tag in ("article", "main"):
+            return False
+        parent = parent.parent
+    return True
+
+
 def extract(page: str | None) -> str:
     """Main text of a page."""
     if not page:
@@ -239,7 +251,7 @@ def extract(page: str | None) -> str:
     while stack:
         node = stack.pop()
         for child in node.children:
-            if child.dropped:
+            if child.dropped or linked(child, node):
                 holes.append((child.start, child.end))
             else:
                 stack.append(child)

@@ -256,6 +256,8 @@ BLOCKS = "part int, kind int, target int, body binary"
 
 def blocks(records: np.ndarray, part: np.ndarray, kind: int) -> list[tuple[int, int, int, bytes]]:
     """A row for each part: suffixes (kind 0), or spans for the documents of a part (kind 1), which go there by way of it."""
+    if not len(records):
+        return []
     order = np.argsort(part, kind="stable")
     part = part[order]
     first = np.flatnonzero(np.diff(part, prepend=-1))
