@@ -294,8 +294,12 @@ def _mask_box(pixels: Column, width: Column, height: Column) -> Column:
 
 
 def mean_point(points: Column) -> Column:
-    n = F.size(points)
-    return F.array(*(F.aggregate(points, F.lit(0.0), lambda s, p, i=i: s + at(p, i)) / n for i in range(2)))
+    """Mean of the first two coordinates."""
+
+    def axis(i: int) -> Column:
+        return F.aggregate(points, F.lit(0.0), lambda s, p: s + at(p, i)) / F.size(points)
+
+    return F.array(axis(0), axis(1))
 
 
 def sample_depth(depth_map: Column, x_norm: Column, y_norm: Column) -> Column:

@@ -56,7 +56,7 @@ def certificates(episodes: DataFrame, keys: list[str], s: Settings = DEFAULT) ->
     """
     c = F.col
     parts = components(F.coalesce(c("max_drift_ms"), F.lit(999.0)), F.coalesce(c("blur_score"), F.lit(0.0)), F.coalesce(c("hand_presence_rate"), F.lit(0.0)), F.coalesce(c("label_confidence"), F.lit(0.0)), F.coalesce(c("causal_passed"), F.lit(True)), F.coalesce(c("inversions"), F.lit(0)), F.coalesce(c("events"), F.lit(1)))
-    out = score(episodes.select("*", *(v.alias(f"{k}_score") for k, v in parts.items())), {k: c(f"{k}_score") for k in parts}, s)
+    out = score(episodes.select("*", *(v.alias(f"{k}_component") for k, v in parts.items())), {k: c(f"{k}_component") for k in parts}, s)
     named = {
         "missing_sync": c("max_drift_ms").isNull(),
         "missing_blur": c("blur_score").isNull(),

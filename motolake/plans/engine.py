@@ -1,7 +1,8 @@
 """The engine: typed tables in, stages as functions of tables, each stage's table kept where the caller says.
 
 A stage's table is written once under a name made of the stage and a hash of the tables and settings it was
-made from, so that running again reads what is there (resume) and changed input makes new tables.
+made from, so that running again reads what is there (resume) and changed input makes new tables. Without a
+store, stages are cached for as long as the session wants.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ class Engine:
         if path:
             made.write.mode("overwrite").parquet(path)
             made = self.spark.read.parquet(path)
+        else:
+            made = made.persist()
         self.done[name] = made
         self.log.append((name, "made"))
         return made

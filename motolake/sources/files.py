@@ -30,12 +30,12 @@ def stream_problems(files: DataFrame, streams: DataFrame, key: str) -> DataFrame
 
     files: key, name. streams: key, stream, pattern, required; one row per pattern.
     """
-    matched = streams.join(files, key).filter(F.col("name").rlike(glob_regex(F.col("pattern")))).select(key, "stream", "name").distinct()
+    matched = streams.join(files, key).filter(F.rlike("name", glob_regex(F.col("pattern")))).select(key, "stream", "name").distinct()
     counts = streams.select(key, "stream", "required").distinct().join(matched.groupBy(key, "stream").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("name")).alias("names")), [key, "stream"], "left")
     missing = counts.filter("required and n is null").select(key, F.lit("missing").alias("problem"), F.col("stream").alias("subject"))
     twice = counts.filter("n > 1").select(key, F.lit("ambiguous").alias("problem"), F.col("stream").alias("subject"))
     patterns = F.broadcast(streams.select(F.col("pattern").alias("any_pattern")).distinct())
-    sensors = files.join(patterns, F.col("name").rlike(glob_regex(F.col("any_pattern")))).select(key, "name").distinct()
+    sensors = files.join(patterns, F.rlike("name", glob_regex(F.col("any_pattern")))).select(key, "name").distinct()
     stray = sensors.join(matched.select(key, "name"), [key, "name"], "left_anti").select(key, F.lit("undeclared").alias("problem"), F.col("name").alias("subject"))
     return missing.unionByName(twice).unionByName(stray)
 

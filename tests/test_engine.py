@@ -52,11 +52,11 @@ def test_labels_and_language(engine):
     assert engine.report().startswith("# Batch")
 
 
-def test_modes_agree_on_what_the_pose_says(spark, engine):
+def test_modes_agree_on_what_the_pose_says(spark, engine, tmp_path):
     flags = ("power_grasp", "lateral_pinch", "reach_onset", "finger_curl", "transport")
     seen = {}
     for mode in ("head_mounted", "wrist_mounted", "dual"):
-        table = Engine(spark, engine.tables, mode=mode).stage("primitives")
+        table = Engine(spark, engine.tables, mode=mode, store_dir=f"file://{tmp_path}").stage("primitives")
         seen[mode] = [tuple(r) for r in table.orderBy("session_id", "frame_idx").select(*flags).collect()]
     assert seen["head_mounted"] == seen["wrist_mounted"] == seen["dual"]
     with pytest.raises(ValueError, match="unknown sensor mode"):
@@ -65,7 +65,7 @@ def test_modes_agree_on_what_the_pose_says(spark, engine):
 
 def test_empty_tables(spark):
     tables = {k: t.limit(0) for k, t in session(spark, n=30).items()}
-    out = Engine(spark, tables).run("certificates")
+    out = Engine(spark, tables).run("phases")
     assert all(t.count() == 0 for t in out.values())
 
 
