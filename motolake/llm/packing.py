@@ -27,9 +27,16 @@ from motolake.llm.common import begin, cache, small_batches, wanted_parts
 #: White space and capitals that the tokenizer and Python treat differently, and the marks of special tokens.
 ODD = re.compile(r"[\x1c-\x1f\x85\xa0\u0130\u03a3\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]|<\|")
 
+#: Those of them that are ASCII.
+ODD_ASCII = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 PUNCTUATION = string.punctuation
 
 
+def odd(text: str) -> bool:
+    """Whether a text holds any of them; a look for single strings is quicker where it will do."""
+    return any(x in text for x in ODD_ASCII) if text.isascii() else ODD.search(text) is not None
+
+
 class WordTokenizer:
     """Token ids of texts by way of their words, for a tokenizer that lowers case and never joins text across white space.
 
@@ -41,7 +48,7 @@ class WordTokenizer:
 
     _own: dict[str, WordTokenizer] = {}
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -108,7 +115,7 @@ class WordTokenizer:
             gaps: list[tuple[int, list[str], list[int]]] = []
             find = self.young.get
             for i, text in enumerate(texts[a : a + 512]):
-                if ODD.search(text):
+                if odd(text):
                     found.append(self.whole(text))
                     continue
                 words = text.lower().split()
