@@ -351,3 +351,21 @@ def pca_project(values: Column, basis: list[list[float]], mean: list[float]) ->
 def pca_restore(coordinates: Column, basis: list[list[float]], mean: list[float]) -> Column:
     n = len(mean)
     return F.array(*(F.lit(float(mean[j])) + dot(coordinates, vector(*(row[j] for row in basis))) for j in range(n)))
+
+
+def present_points(points: Column) -> Column:
+    """Points of a hand; null for one that a dense array holds as all NaN."""
+    return F.when(~F.forall(F.flatten(points), lambda x: x.isNull() | F.isnan(x)), points)
+
+
+def contact_colour(confidence: Column) -> Column:
+    """Red, green, blue of a contact confidence, from grey to red; unknown is 0."""
+    x = F.when(confidence.isNull() | F.isnan(confidence), F.lit(0.0)).otherwise(clip(confidence, 0.0, 1.0))
+    return let(x, lambda c: F.array((128 + 127 * c).cast("int"), (128 * (1 - c)).cast("int"), (128 * (1 - c)).cast("int")))
+
+
+def strips(points: Column, edges: list[tuple[int, int]]) -> Column:
+    """Pairs of points of the edges whose ends are both known."""
+    known = lambda p: p.isNotNull() & F.forall(p, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    pairs = [F.when(known(F.get(points, a)) & known(F.get(points, b)), F.array(F.get(points, a), F.get(points, b))) for a, b in edges]
+    return F.filter(F.array(*pairs), lambda e: e.isNotNull())

@@ -123,3 +123,10 @@ def data_card(totals: dict, tasks: list[tuple[str, int]], title: str) -> str:
     """Markdown of a batch from its small aggregates."""
     lines = [f"# {title}", "", *(f"- **{k}**: {v}" for k, v in totals.items()), "", "| Task | Episodes |", "|---|---|"]
     return "\n".join([*lines, *(f"| {t} | {n} |" for t, n in sorted(tasks, key=lambda x: (-x[1], x[0])))]) + "\n"
+
+
+def dof_names(has_mano: Column) -> Column:
+    """Names of a state vector: wrist pose and grasp, or wrist pose, grasp and 45 joint numbers."""
+    base = [*(f"wrist_{a}" for a in ("x", "y", "z", "qw", "qx", "qy", "qz")), "grasp"]
+    short, long = (F.array(*(F.lit(n) for n in names)) for names in (base, [*base, *(f"theta_{i:02d}" for i in range(45))]))
+    return F.when(has_mano, long).otherwise(short)

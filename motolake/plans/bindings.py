@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from motolake.functions import geometry as geo
 from motolake.functions import strings
-from motolake.operators import asof, consent, dataset_qc, eis, fusion, intervals, language, package, phases, privacy, qa, retarget, stats, sync, tasks, validate
+from motolake.operators import asof, consent, dataset_qc, eis, fusion, intervals, language, logs, package, phases, privacy, qa, retarget, stats, sync, tasks, validate
 from motolake.operators import primitives as prim
 from motolake.operators import windows as win
 from motolake.operators.certify import mistakes, quality
@@ -586,15 +586,7 @@ LOG = "lg AS (SELECT user_id, i, '[' || event_type || '] ' || CASE WHEN value <
 @query(f"WITH {EV}, {LOG}, p AS (SELECT user_id, i, regexp_extract(line, '^\\[(\\w+)\\] (\\w+) \\((\\d+)s\\)$', 1) AS stage, regexp_extract(line, '^\\[(\\w+)\\] (\\w+) \\((\\d+)s\\)$', 2) AS status, CAST(regexp_extract(line, '^\\[(\\w+)\\] (\\w+) \\((\\d+)s\\)$', 3) AS BIGINT) AS s FROM lg) SELECT user_id, stage, CAST(sum(s) AS BIGINT) AS seconds, arg_max(status, i) AS status FROM p GROUP BY user_id, stage")
 def log_parse(spark, sf_dir):
     line = F.concat(F.lit("["), F.col("event_type"), F.lit("] "), F.when(F.col("value") < 10, "FAILED").otherwise("done"), F.lit(" ("), F.floor("value").cast("string"), F.lit("s)"))
-    return stage_status(events(spark, sf_dir, "value", "event_type").withColumn("line", line), U, "i", "line")
-
-
-def stage_status(log: DataFrame, keys: list[str], order: str, line: str) -> DataFrame:
-    """Seconds and last status of each stage of a log of '[stage] status (ns)' lines; other lines don't count."""
-    pattern = r"^\[(\w+)\] (\w+) \((\d+)s\)$"
-    part = lambda k: F.regexp_extract(line, pattern, k)
-    found = log.filter(F.col(line).rlike(pattern)).select(*keys, order, part(1).alias("stage"), part(2).alias("status"), part(3).cast("long").alias("s"))
-    return found.groupBy(*keys, "stage").agg(F.sum("s").alias("seconds"), F.max_by("status", order).alias("status"))
+    return logs.stage_status(events(spark, sf_dir, "value", "event_type").withColumn("line", line), U, "i", "line")
 
 
 @query("SELECT event_id, coalesce(CAST(json_extract_string(props, '$.timestamp_ns') AS DOUBLE), CAST(json_extract_string(props, '$.k') AS DOUBLE) * 1000) AS ns FROM events")

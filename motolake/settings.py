@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-# Closed vocabularies and reference constants that results depend on.
+# Closed vocabularies and constants that results depend on.
 PRIMITIVES = ("wrist_pronate", "wrist_supinate", "wrist_flex", "reach_onset", "power_grasp", "lateral_pinch", "contact_onset", "contact_release", "finger_curl", "finger_extend", "idle", "transport")
 PHASES = ("reach", "grasp", "active_manipulation", "release", "reposition", "idle")
 TASKS = ("bolt_tightening", "material_transfer", "box_seal", "label_apply", "inspection_visual", "pick_and_place", "tool_change", "idle", "assembly_insert", "packaging_fold")

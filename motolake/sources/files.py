@@ -120,3 +120,10 @@ def read_hdf5(spark: SparkSession, path: str, datasets: list[str]) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "dataset", "row", "values"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, dataset string, row long, values array<double>")
+
+
+def with_fallback(first: DataFrame, second: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows of both by key, each column of the first where it is known, else of the second."""
+    a = first.select(key, *(F.col(c).alias(f"_a_{c}") for c in columns))
+    b = second.select(key, *(F.col(c).alias(f"_b_{c}") for c in columns))
+    return a.join(b, key, "full").select(key, *(F.coalesce(f"_a_{c}", f"_b_{c}").alias(c) for c in columns))
