@@ -20,4 +20,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op6_licenses": licenses.oracle_sql(),
     "op7_mixing": mixing.ORACLE_SQL,
+    "op8_suffix_dedup": suffix_dedup.ORACLE_SQL,
+    "op9_jaccard": jaccard.ORACLE_SQL,
 }

@@ -454,3 +454,18 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), kept=None).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+ORACLE_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+g AS (SELECT doc_id, b, n, unnest(range(n - 99)) AS p FROM d WHERE n >= 100),
+w AS (SELECT doc_id, p, row_number() OVER (PARTITION BY b[p + 1:p + 100] ORDER BY doc_id, p) AS k FROM g),
+r AS (SELECT doc_id, p, CASE WHEN p > lag(p) OVER v + 100 THEN 1 ELSE 0 END AS new FROM w WHERE k > 1 WINDOW v AS (PARTITION BY doc_id ORDER BY p)),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM r),
+spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS z FROM i GROUP BY doc_id, run),
+edges AS (SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM spans UNION ALL SELECT doc_id, 0, min(a) FROM spans GROUP BY doc_id),
+kept AS (SELECT e.doc_id, string_agg(hex(d.b[e.a + 1:coalesce(e.z, d.n)]), '' ORDER BY e.a) AS h FROM edges e JOIN d USING (doc_id) GROUP BY e.doc_id),
+c AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(c.removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(c.spans, 0) AS BIGINT) AS n_spans, sha256(CASE WHEN c.doc_id IS NULL THEN d.b ELSE unhex(kept.h) END) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

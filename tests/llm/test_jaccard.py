@@ -6,6 +6,7 @@ import pytest
 
 from motolake.llm import jaccard
 from motolake.llm.components import connected_components
+from tests.oracle import same
 
 
 def shingles(text):
@@ -100,3 +101,7 @@ def test_components_of_paths_and_stars(spark):
     path, star = {int(ids[i]) for i in range(41)}, {int(ids[i]) for i in range(100, 140)}
     assert out == {n: min(path) for n in path} | {n: min(star) for n in star}
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_query_gives_what_sql_gives(spark, sf_dir):
+    same(jaccard.op9_jaccard(spark, sf_dir), jaccard.ORACLE_SQL, sf_dir)

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from motolake.llm import suffix_dedup as sd
+from tests.oracle import same
 
 
 def plain(rows, length):
@@ -110,3 +111,7 @@ def test_records_round_trip(rows):
     records = np.array([(i, d, a) for i, (d, a) in enumerate(rows)], sd.WINDOW)
     back = sd.decode(sd.encode(records), sd.WINDOW)
     assert sorted(map(tuple, back.tolist())) == sorted(map(tuple, records.tolist()))
+
+
+def test_query_gives_what_sql_gives(spark, sf_dir):
+    same(sd.op8_suffix_dedup(spark, sf_dir), sd.ORACLE_SQL, sf_dir)
