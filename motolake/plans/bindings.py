@@ -90,14 +90,13 @@ def consent_reconcile(spark, sf_dir):
 
 
 @query(
-    f"""WITH o AS (SELECT user_id, event_id, {STATUS} AS status FROM events WHERE event_id % 7 = 0),
+    f"""WITH o AS (SELECT user_id, event_id, {STATUS} AS status FROM events),
 g AS (SELECT user_id, min({RANK.format(s="status")}) AS r, count(DISTINCT status) AS k FROM o GROUP BY user_id)
 SELECT user_id, 'duplicate_conflict' AS event_type, status, CAST(event_id AS VARCHAR) AS source FROM o WHERE user_id IN (SELECT user_id FROM g WHERE k > 1)
 UNION ALL SELECT user_id, CASE WHEN k > 1 THEN 'reconciled' ELSE 'recorded' END, CASE r WHEN 0 THEN 'denied' WHEN 1 THEN 'revoked' WHEN 2 THEN 'pending' ELSE 'granted' END, NULL FROM g"""
 )
 def consent_event_log(spark, sf_dir):
-    # every seventh event is a consent record, so that some users have one kind only
-    return consent.event_log(observations(spark, sf_dir).filter("event_id % 7 = 0"), "user_id", "status", "event_id")
+    return consent.event_log(observations(spark, sf_dir), "user_id", "status", "event_id")
 
 
 @query("SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place FROM conversations")
@@ -263,12 +262,13 @@ def phase_rules(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- time axes
-PROBES = "pr AS (SELECT user_id, i, t FROM ev WHERE i % 2 = 1), sa AS (SELECT user_id, t AS st, value FROM ev WHERE i % 2 = 0), nb AS (SELECT p.user_id, p.i, p.t, b.st AS bt, b.value AS bv, a.st AS at_, a.value AS av FROM pr p ASOF LEFT JOIN sa b ON p.user_id = b.user_id AND p.t >= b.st ASOF LEFT JOIN sa a ON p.user_id = a.user_id AND p.t <= a.st)"
+# signups and purchases are looked up among the other events of their user
+PROBES = "pr AS (SELECT user_id, i, t FROM ev WHERE event_type IN ('signup', 'purchase')), sa AS (SELECT user_id, t AS st, value FROM ev WHERE event_type NOT IN ('signup', 'purchase')), nb AS (SELECT p.user_id, p.i, p.t, b.st AS bt, b.value AS bv, a.st AS at_, a.value AS av FROM pr p ASOF LEFT JOIN sa b ON p.user_id = b.user_id AND p.t >= b.st ASOF LEFT JOIN sa a ON p.user_id = a.user_id AND p.t <= a.st)"
 
 
 def probes(spark, sf_dir):
-    ev = events(spark, sf_dir, "value")
-    return ev.filter("i % 2 = 1").select("user_id", "i", "t"), ev.filter("i % 2 = 0").select("user_id", F.col("t").alias("st"), "value")
+    ev, looked_up = events(spark, sf_dir, "value", "event_type"), F.col("event_type").isin("signup", "purchase")
+    return ev.filter(looked_up).select("user_id", "i", "t"), ev.filter(~looked_up).select("user_id", F.col("t").alias("st"), "value")
 
 
 @query(f"WITH {EV}, {PROBES} SELECT user_id, i, CASE WHEN bt IS NULL THEN at_ WHEN at_ IS NULL THEN bt WHEN at_ - t <= t - bt THEN at_ ELSE bt END AS nearest FROM nb")
@@ -498,23 +498,25 @@ def normalize_p01_p99(spark, sf_dir):
     return li.join(F.broadcast(p), how="cross").select("l_orderkey", "l_linenumber", F.round(stats.normalised(F.col("l_extendedprice"), F.col("p")[0], F.col("p")[1]), 6).alias("x"))
 
 
-SIGNS = "sg AS (SELECT vec_id, list_reduce(list_transform(embedding[1:{n}], lambda x: CAST(CASE WHEN x > 0 THEN 1 ELSE 0 END AS BIGINT)), lambda a, b: a * 2 + b) AS h FROM embeddings)"
+# a bit for each of the 32 sums of a component and the one 32 places on
+SIGNS = "sg AS (SELECT vec_id, list_reduce(list_transform(range(1, 33), lambda k: CAST(CASE WHEN embedding[k] + embedding[k + 32] > 0 THEN 1 ELSE 0 END AS BIGINT)), lambda a, b: a * 2 + b) AS h FROM embeddings)"
 
 
-def signs(spark, sf_dir, n):
-    return table(spark, sf_dir, "embeddings").select("vec_id", strings.bits_to_long(F.transform(F.slice("embedding", 1, n), lambda x: x > 0)).alias("h"))
+def signs(spark, sf_dir):
+    sums = F.zip_with(F.slice("embedding", 1, 32), F.slice("embedding", 33, 32), lambda x, y: x + y)
+    return table(spark, sf_dir, "embeddings").select("vec_id", strings.bits_to_long(F.transform(sums, lambda x: x > 0)).alias("h"))
 
 
-@query(f"WITH {SIGNS.format(n=32)} SELECT a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS INT) AS distance FROM sg a JOIN sg b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 5")
+@query(f"WITH {SIGNS} SELECT a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS INT) AS distance FROM sg a JOIN sg b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 5")
 def hamming_pairs(spark, sf_dir):
-    return dataset_qc.pairs_within(signs(spark, sf_dir, 32), "vec_id", "h", 5, 32)
+    return dataset_qc.pairs_within(signs(spark, sf_dir), "vec_id", "h", 5, 32)
 
 
 @query()
 def dedup_greedy(spark, sf_dir):
     # a batch is a label's vectors, so no fold grows with the table faster than its labels
-    rows = signs(spark, sf_dir, 48).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
-    return dataset_qc.greedy_duplicates(rows, ["label"], "vec_id", "vec_id", "h", Settings(duplicate_similarity=0.8, hash_bits=48))
+    rows = signs(spark, sf_dir).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
+    return dataset_qc.greedy_duplicates(rows, ["label"], "vec_id", "vec_id", "h", Settings(duplicate_similarity=0.8, hash_bits=32))
 
 
 @query("SELECT sha256(text) AS content_hash, count(*) AS items, min(doc_id) AS first_item FROM documents WHERE text IS NOT NULL GROUP BY 1")
