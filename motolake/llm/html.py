@@ -4,7 +4,7 @@ A page becomes a tree of elements. Elements that are never an article's text (sc
 page headers, footers, sidebars, notices, adverts, forms, reader comments, by tag, role, class or id) go
 first. For each node left, with C characters, T tags, LC characters and LT tags in links below it, the
 composite text density is C / T times the logarithm of (C / LC) (T / LT) to the base
-ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body. The node with the largest sum of its children's
+ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body and each number of links counts as 1 at least. The node with the largest sum of its children's
 densities is chosen; the smallest density on the path from the body to it is the threshold which other
 subtrees must reach to be kept beside it; blocks of links inside it go. Inside an article or main element the
 whole element is the text.
@@ -178,8 +178,8 @@ def measure(root: Node) -> list[Node]:
     for node in order:
         c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
         if c:
-            base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + share * c + math.e)
-            node.density = c / t * math.log(c / lc * t / lt) / math.log(base + 1e-9) if base > 1 + 1e-6 and c / lc * t / lt > 0 else c / t * math.log(max(c / lc * t / lt, 1e-9))
+            base = math.log(c / max(c - node.link_chars, 1) * lc + share * c + math.e)
+            node.density = c / t * math.log(c / lc * t / lt) / math.log(base)
     return order
 
 
