@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motolake.functions import geometry as geo
-from motolake.settings import DEFAULT, Settings
 
 
 def grasp_scale(frames: DataFrame, keys: list[str], pinch: str, closed: float = 0.03, open_: float = 0.3) -> DataFrame:
