@@ -78,13 +78,14 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(product(a, b), F.sqrt(product(a, a)) * F.sqrt(product(b, b)))
 
 
-def nearest_vectors(df: DataFrame, item: str, vector: str, model: str | None = None, parts: int = 64, block: int = 1024) -> DataFrame:
+def nearest_vectors(df: DataFrame, item: str, vector: str, model: str | None = None, parts: int | None = None, block: int = 1024) -> DataFrame:
     """item, nearest, similarity: the other item of largest cosine (of the same model), the smaller id of equals.
 
-    Exact, in blocks of rows: every part of the items meets every other one as a matrix product in a task
-    that holds two parts; a window keeps the best of each item's candidates.
+    Exact, in blocks of rows: every part of the items (of some 4096, unless their number is given) meets every
+    other one as a matrix product in a task that holds two parts; a window keeps the best of each item's candidates.
     """
     by = [model] if model else []
+    parts = parts or max(1, -(-df.count() // 4096))
     rows = df.select(F.col(item).alias("i"), F.col(vector).cast("array<double>").alias("v"), *by).filter("v is not null")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("i"), F.lit(parts)).cast("int"))
     left = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
@@ -121,8 +122,8 @@ def nearest_vectors(df: DataFrame, item: str, vector: str, model: str | None = N
 
 def batch_report(tasks: DataFrame, duplicates: DataFrame, splits: DataFrame, label: str) -> DataFrame:
     """One row: episodes, classes, largest over smallest class, duplicates, sizes of the splits as a map."""
-    from motolake.operators.stats import imbalance
+    from motolake.operators.stats import beside, imbalance
 
     sizes = splits.groupBy("split").count().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("split", "count")))).alias("splits"))
     copies = duplicates.agg(F.count("duplicate_of").alias("duplicates"))
-    return tasks.agg(F.count(F.lit(1)).alias("episodes")).join(imbalance(tasks, label), how="cross").join(copies, how="cross").join(sizes, how="cross")
+    return beside(tasks.agg(F.count(F.lit(1)).alias("episodes")), imbalance(tasks, label), copies, sizes)

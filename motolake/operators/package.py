@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motolake.operators.consent import block_reason
+from motolake.operators.stats import beside
 from motolake.settings import DEFAULT, TIERS, Settings
 
 CERTIFICATE = ("sync_integrity", "calibration_completeness", "perception_confidence", "contact_consistency", "ik_convergence_rate")
@@ -38,7 +39,7 @@ def batch_manifest(episodes: DataFrame, sessions: DataFrame) -> DataFrame:
     kept = episodes.join(sessions.filter("redacted").select("session_id"), "session_id", "left_semi")
     tasks = kept.groupBy("L1_task").count().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("L1_task", "count")))).alias("task_distribution"))
     totals = kept.agg(F.count_distinct("session_id").alias("sessions"), F.count(F.lit(1)).alias("episode_count"), F.coalesce(F.sum("duration_sec") / 3600, F.lit(0.0)).alias("total_duration_hours"), F.avg("eis").alias("mean_eis"))
-    return totals.join(tasks, how="cross")
+    return beside(totals, tasks)
 
 
 def manifest(episodes: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def manifest(episodes: DataFrame) -> DataFrame:
     def spread(c: str, none: str, out: str) -> DataFrame:
         return episodes.groupBy(F.coalesce(c, F.lit(none)).alias("k")).count().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "count")))).alias(out))
 
-    return totals.join(spread("task", "<untasked>", "task_distribution"), how="cross").join(spread("tier", "<unassigned>", "tier_distribution"), how="cross")
+    return beside(totals, spread("task", "<untasked>", "task_distribution"), spread("tier", "<unassigned>", "tier_distribution"))
 
 
 def modality_inventory(frames: DataFrame, key: str, fields: list[str]) -> DataFrame:

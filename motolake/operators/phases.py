@@ -57,8 +57,7 @@ def phase_counts(df: DataFrame, keys: list[str], label: str, segments: DataFrame
     """Frames and segments of every phase, zeros too."""
     from motolake.settings import PHASES
 
-    spark = df.sparkSession
-    every = df.select(*keys).distinct().join(F.broadcast(spark.createDataFrame([(p,) for p in PHASES], "phase string")), how="cross")
+    every = df.select(*keys).distinct().withColumn("phase", F.explode(F.array(*(F.lit(p) for p in PHASES))))
     frames = df.groupBy(*keys, F.col(label).alias("phase")).agg(F.count(F.lit(1)).alias("frames"))
     segs = segments.groupBy(*keys, "phase").agg(F.count(F.lit(1)).alias("segments"))
     return every.join(frames, [*keys, "phase"], "left").join(segs, [*keys, "phase"], "left").fillna(0, ["frames", "segments"])

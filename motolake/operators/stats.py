@@ -21,6 +21,14 @@ def renormalised(components: dict[str, float], scale: tuple[float, float] = (0.0
     return F.when(weight > 0, scale[0] + (scale[1] - scale[0]) * F.try_divide(total, weight))
 
 
+def beside(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """One-row tables put beside each other, or each row of the first beside the single rows of the others."""
+    out = first.withColumn("_one", F.lit(1))
+    for other in others:
+        out = out.join(F.broadcast(other.withColumn("_one", F.lit(1))), "_one")
+    return out.drop("_one")
+
+
 def weighted_median(df: DataFrame, keys: list[str], value: str, weight: str, out: str) -> DataFrame:
     """The first value, in order, at which the weights so far reach half of all; rows without weight don't count."""
     rows = df.filter((F.col(weight) > 0) & F.col(value).isNotNull())

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motolake.operators.stats import first_on_ties
 from motolake.settings import DEFAULT, TASK_OBJECTS, TASK_SIGNATURES, Settings
 
 
-def signatures(spark, table: dict[str, dict[str, int]] = TASK_SIGNATURES) -> DataFrame:
-    return spark.createDataFrame([(t, p, n) for t, s in table.items() for p, n in s.items()], "task string, primitive string, required int")
+def signatures(table: dict[str, dict[str, int]] = TASK_SIGNATURES) -> Column:
+    """Array of (task, primitive, required)."""
+    return F.array(*(F.struct(F.lit(t).alias("task"), F.lit(p).alias("primitive"), F.lit(n).alias("required")) for t, s in table.items() for p, n in s.items()))
 
 
 def primitive_counts(frames: DataFrame, keys: list[str], active: str = "active_primitives") -> DataFrame:
@@ -26,10 +27,9 @@ def dominant_object(frames: DataFrame, tracks: DataFrame, keys: list[str], frame
     return first_on_ties(seen, keys, "class_label", "order", "dominant_object")
 
 
-def scores(counts: DataFrame, keys: list[str], table: DataFrame | None = None) -> DataFrame:
+def scores(counts: DataFrame, keys: list[str], table: dict[str, dict[str, int]] = TASK_SIGNATURES) -> DataFrame:
     """Score of every task for each key of counts: the mean share of its required counts that is reached."""
-    table = table if table is not None else signatures(counts.sparkSession)
-    each = counts.select(*keys).distinct().join(F.broadcast(table), how="cross")
+    each = counts.select(*keys).distinct().select(*keys, F.explode(signatures(table)).alias("s")).select(*keys, "s.*")
     found = each.join(counts, [*keys, "primitive"], "left").withColumn("share", F.least(F.coalesce("n", F.lit(0)) / F.col("required"), F.lit(1.0)))
     return found.groupBy(*keys, "task").agg(F.round(F.avg("share"), 4).alias("score"))
 

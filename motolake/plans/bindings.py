@@ -495,7 +495,7 @@ def norm_stats(spark, sf_dir):
 def normalize_p01_p99(spark, sf_dir):
     li = lineitem(spark, sf_dir, "l_extendedprice")
     p = li.agg(F.percentile("l_extendedprice", F.array(F.lit(0.01), F.lit(0.99))).alias("p"))
-    return li.join(F.broadcast(p), how="cross").select("l_orderkey", "l_linenumber", F.round(stats.normalised(F.col("l_extendedprice"), F.col("p")[0], F.col("p")[1]), 6).alias("x"))
+    return stats.beside(li, p).select("l_orderkey", "l_linenumber", F.round(stats.normalised(F.col("l_extendedprice"), F.col("p")[0], F.col("p")[1]), 6).alias("x"))
 
 
 # a bit for each of the 32 sums of a component and the one 32 places on
@@ -526,7 +526,7 @@ def exact_dedup(spark, sf_dir):
 
 @query("WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) SELECT a.vec_id, arg_max(b.vec_id, (round(list_cosine_similarity(a.v, b.v), 12), -b.vec_id)) AS nearest, round(max(list_cosine_similarity(a.v, b.v)), 6) AS similarity FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY a.vec_id")
 def vector_nn(spark, sf_dir):
-    return dataset_qc.nearest_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", parts=4).withColumn("similarity", F.round("similarity", 6))
+    return dataset_qc.nearest_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding").withColumn("similarity", F.round("similarity", 6))
 
 
 @query("SELECT doc_id, CAST('0x' || sha256(CAST(doc_id AS VARCHAR))[1:8] AS BIGINT) / 4294967295.0 < 0.2 AS checked FROM documents")
