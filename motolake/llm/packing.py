@@ -48,7 +48,7 @@ class WordTokenizer:
 
     _own: dict[str, WordTokenizer] = {}
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 450_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
