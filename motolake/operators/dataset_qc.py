@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,73 @@ def greedy_duplicates(df: DataFrame, keys: list[str], item: str, ordinal: str, h
     return folded.select(*keys, F.explode("folded").alias("r")).select(*keys, F.col("r.i").alias(item), F.col("r.d").alias("duplicate_of"), F.col("r.s").alias("similarity"))
 
 
+def greedy_duplicates_of_all(df: DataFrame, item: str, hash_col: str, s: Settings = DEFAULT, block: int = 65536) -> DataFrame:
+    """df's rows with duplicate_of and similarity: greedy_duplicates over all rows as one batch, in the order of item, whole numbers.
+
+    A copy of an earlier hash is never kept, and what is like a kept hash isn't either. So each round takes, of the first items
+    of each hash, the first block ones in order that are unlike all kept before, and decides them on the driver; the kept
+    hashes then meet all rows, 16 bytes each on driver and executors. Kept hashes differ in more than m bits (those alike in at
+    most m), so they are at most 2^bits over the size of a ball of radius m / 2: 782,468 for 32 bits and 0.8. Rows of one item are in the order
+    of their hash; rows without a hash are kept and like no other. A null item is the first.
+    """
+    most = max((d for d in range(s.hash_bits + 1) if 1 - d / s.hash_bits >= s.duplicate_similarity), default=-1)
+    kind, bits, lowest = df.schema[item].dataType.simpleString(), s.hash_bits, -(1 << 63)
+    order = F.coalesce(F.col(item).cast("long"), F.lit(lowest))
+    context = df.sparkSession.sparkContext
+    differing = lambda a, b: np.bitwise_count((a ^ b).view(np.uint64))
+    items, hashes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def unlike(kept):
+        @F.pandas_udf("boolean")
+        def test(h: pd.Series) -> pd.Series:
+            x, left = h.to_numpy(np.int64), np.arange(len(h))
+            for k in range(0, len(kept.value), 512):
+                left = left[(differing(x[left, None], kept.value[None, k : k + 512]) > most).all(1)]
+            out = np.zeros(len(x), bool)
+            out[left] = True
+            return pd.Series(out)
+
+        return test
+
+    firsts = df.select(order.alias("o"), F.col(hash_col).cast("long").alias("x")).filter("x is not null").groupBy("x").agg(F.min("o").alias("o"))
+    while True:
+        rest = firsts.filter(unlike(context.broadcast(hashes))("x")) if len(hashes) else firsts
+        rows = rest.orderBy("o", "x").limit(block).collect()
+        new = np.zeros(len(rows), np.int64)
+        at = []
+        for i, r in enumerate(rows):
+            if not len(at) or not (differing(new[: len(at)], np.int64(r["x"])) <= most).any():
+                new[len(at)] = r["x"]
+                at.append(i)
+        items = np.concatenate([items, np.array([rows[i]["o"] for i in at], np.int64)])
+        hashes = np.concatenate([hashes, new[: len(at)]])
+        if len(rows) < block:
+            break
+    kept = context.broadcast((items, hashes))
+
+    @F.pandas_udf("i long, d int")
+    def best(o: pd.Series, h: pd.Series, n: pd.Series) -> pd.DataFrame:
+        ids, x = kept.value
+        o, h, n = o.to_numpy(np.int64), h.to_numpy(np.int64), n.to_numpy(np.int64)
+        found, apart = np.zeros(len(o), np.int64), np.full(len(o), bits + 1)
+        step = max(1, (1 << 21) // max(len(x), 1))
+        for k in range(0, len(o), step) if len(x) else ():
+            p, q = o[k : k + step, None], h[k : k + step, None]
+            away = differing(q, x[None, :]).astype(np.int16)
+            before = (ids[None, :] < p) | ((ids[None, :] == p) & ((x[None, :] < q) | ((x[None, :] == q) & (n[k : k + step, None] > 1))))
+            away[~before | (away > most)] = bits + 1
+            at = away.argmin(1)
+            found[k : k + step], apart[k : k + step] = ids[at], away[np.arange(len(at)), at]
+        return pd.DataFrame({"i": found, "d": apart.astype(np.int32)})
+
+    # rows equal in item and hash come one after another
+    out = df.withColumn("_n", F.row_number().over(Window.partitionBy(item, hash_col).orderBy(F.lit(0))))
+    out = out.withColumn("_r", best(order, F.coalesce(F.col(hash_col).cast("long"), F.lit(0)), F.col("_n")))
+    known = F.col(hash_col).isNotNull() & (F.col("_r.d") <= most)
+    out = out.withColumn("duplicate_of", F.when(known, F.nullif(F.col("_r.i"), F.lit(lowest))).cast(kind))
+    return out.withColumn("similarity", F.when(known, 1 - F.col("_r.d") / bits)).drop("_n", "_r")
+
+
 def pairs_within(df: DataFrame, item: str, hash_col: str, most: int, bits: int = 64) -> DataFrame:
     """Pairs of items whose hashes differ in at most most bits, exactly: hashes are cut into most + 1 bands, of which a pair shares one."""
     bands = most + 1
@@ -92,9 +161,6 @@ def nearest_vectors(df: DataFrame, item: str, vector: str, model: str | None = N
     right = rows.withColumn("other", F.col("part")).drop("part").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def best(a, b):
-        import numpy as np
-        import pandas as pd
-
         out: dict[str, list] = {"i": [], "j": [], "s": []}
         if len(a) and len(b):
             x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())

@@ -502,9 +502,9 @@ def normalize_p01_p99(spark, sf_dir):
 SIGNS = "sg AS (SELECT vec_id, list_reduce(list_transform(range(1, 33), lambda k: CAST(CASE WHEN embedding[k] + embedding[k + 32] > 0 THEN 1 ELSE 0 END AS BIGINT)), lambda a, b: a * 2 + b) AS h FROM embeddings)"
 
 
-def signs(spark, sf_dir):
+def signs(spark, sf_dir, *columns):
     sums = F.zip_with(F.slice("embedding", 1, 32), F.slice("embedding", 33, 32), lambda x, y: x + y)
-    return table(spark, sf_dir, "embeddings").select("vec_id", strings.bits_to_long(F.transform(sums, lambda x: x > 0)).alias("h"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", *columns, strings.bits_to_long(F.transform(sums, lambda x: x > 0)).alias("h"))
 
 
 @query(f"WITH {SIGNS} SELECT a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS INT) AS distance FROM sg a JOIN sg b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 5")
@@ -514,9 +514,8 @@ def hamming_pairs(spark, sf_dir):
 
 @query()
 def dedup_greedy(spark, sf_dir):
-    # a batch is a label's vectors, so no fold grows with the table faster than its labels
-    rows = signs(spark, sf_dir).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
-    return dataset_qc.greedy_duplicates(rows, ["label"], "vec_id", "vec_id", "h", Settings(duplicate_similarity=0.8, hash_bits=32))
+    out = dataset_qc.greedy_duplicates_of_all(signs(spark, sf_dir, "label"), "vec_id", "h", Settings(duplicate_similarity=0.8, hash_bits=32))
+    return out.select("label", "vec_id", "duplicate_of", "similarity")
 
 
 @query("SELECT sha256(text) AS content_hash, count(*) AS items, min(doc_id) AS first_item FROM documents WHERE text IS NOT NULL GROUP BY 1")

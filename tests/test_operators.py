@@ -195,6 +195,46 @@ def test_greedy_duplicates_follow_the_loop(spark):
     assert {r["i"]: r["duplicate_of"] for r in out} == want
 
 
+def loop(rows, bits, least):
+    """The reference's loop over (item, hash) in order: item, kept item or None, similarity or None."""
+    kept, out = [], []
+    for i, h in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)):
+        match, best = None, 0.0
+        for j, x in kept if h is not None else ():
+            sim = 1 - bin((h ^ x) & ((1 << 64) - 1)).count("1") / bits
+            if sim >= least and sim > best:
+                match, best = (j,), sim
+        if match is None and h is not None:
+            kept.append((i, h))
+        out.append((i, match[0] if match else None, best if match else None))
+    return out
+
+
+def test_greedy_duplicates_of_all_follow_the_loop(spark):
+    rng = random.Random(7)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    hashes = [b ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(8))}) for b in base * 8]
+    rng.shuffle(hashes)
+    hashes = [h - (1 << 64) if h >> 63 else h for h in hashes + hashes[:30]]
+    rows = [(i, h) for i, h in enumerate(hashes)] + [(900, hashes[0]), (901, None), (902, 77), (902, 77), (902, 78), (903, None), (None, hashes[5])]
+    df = spark.createDataFrame(rows, "i int, h bigint")
+    for block in (7, 65536):
+        out = dataset_qc.greedy_duplicates_of_all(df, "i", "h", block=block)
+        assert out.schema["duplicate_of"].dataType == df.schema["i"].dataType
+        assert sorted(((r["i"], r["duplicate_of"], r["similarity"]) for r in out.collect()), key=str) == sorted(loop(rows, 64, 0.9), key=str)
+    assert dataset_qc.greedy_duplicates_of_all(df.limit(0), "i", "h").count() == 0
+
+
+def test_dedup_greedy_compares_the_whole_table(spark, sf_dir):
+    from motolake.plans import bindings
+
+    rows = [(r["vec_id"], r["h"]) for r in bindings.signs(spark, sf_dir).collect()]
+    out = bindings.dedup_greedy(spark, sf_dir).collect()
+    assert sorted((r["vec_id"], r["duplicate_of"], r["similarity"]) for r in out) == sorted(loop(rows, 32, 0.8))
+    label = {r["vec_id"]: r["label"] for r in out}
+    assert any(r["duplicate_of"] is not None and label[r["duplicate_of"]] != r["label"] for r in out)
+
+
 def test_split_shares(spark):
     df = spark.createDataFrame([(i, "a" if i < 100 else None) for i in range(107)], "e int, t string")
     out = dataset_qc.stratified_split(df, "e", "t").groupBy("t", "split").count().collect()
