@@ -64,3 +64,64 @@ def test_every_name_is_found(make, family):
     names = licenses.FAMILIES[family]
     out = found(make([(i, f"Licensed under {n}." if family != "proprietary" else f"{n}.") for i, n in enumerate(names)]))
     assert sum(x[0]["family"] == family for x in out.values()) >= len(names) - 1
+
+
+MIT_WRAPPED = """Copyright 2020 the authors
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The sun rose over the hills."""
+GPL_WRAPPED = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+NOTICES = {
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:": ["BSD"],
+    "Permission is hereby granted, free of charge, to any person obtaining a copy": ["MIT"],
+    "Released under Apache-2.0": ["Apache-2.0"],
+    "Distributed under the terms of MIT.": ["MIT"],
+    "it under the terms of the GNU General Public License as published by": ["GPL"],
+    MIT_WRAPPED: ["unknown", "MIT"],
+    GPL_WRAPPED: ["GPL"],
+    "Licensed under the Apache License,\nVersion 2.0 as everybody knows.": ["Apache-2.0"],
+    "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.": ["Apache-2.0"],
+    "Released under the MIT License and\nso is this: All rights reserved": ["MIT", "proprietary"],
+    "Ich gehe mit dir, sie geht mit ihm.\nShe works at MIT and lives in Boston.\nThe software is provided to all students.": [],
+}
+
+
+def test_notices_texts_and_wrapped_paragraphs(make):
+    out = found(make(list(enumerate(NOTICES))))
+    assert {i: [x["family"] for x in out[i]] for i in out} == dict(enumerate(NOTICES.values()))
+    assert [x["paragraph"] for x in out[list(NOTICES).index(MIT_WRAPPED)]] == [0, 2]
+
+
+def test_gate_excludes_nothing_that_reaches_the_overlap():
+    import random
+    import re
+
+    rng, gate = random.Random(3), re.compile(licenses.gate(0.75))
+    for vs in licenses.full_model()["variants"].values():
+        for v in vs:
+            words = [g for g in v if " " not in g]
+            for _ in range(20):
+                gone = set(rng.sample(words, rng.randrange(len(words))))
+                left = [g for g in v if not set(g.split()) & gone]
+                if len(left) >= 0.75 * len(v):
+                    assert gate.search(" , ".join(left)), v
+            bare = [g for g in v if not gate.search(g)]
+            assert len(bare) < 0.75 * len(v)
+
+
+def test_own_texts_are_found(make):
+    from motolake.llm.notices import BODIES
+
+    rows = [(c, p) for c, ps in (licenses.NOTICES | {"Apache-2.0": BODIES["Apache-2.0"], "MPL-2.0": BODIES["MPL-2.0"]}).items() for p in ps]
+    out = found(make([(i, p) for i, (_, p) in enumerate(rows)]))
+    hits = sum(any(x["family"] == c for x in out[i]) for i, (c, _) in enumerate(rows))
+    assert hits >= 0.95 * len(rows)
