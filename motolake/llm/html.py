@@ -2,7 +2,8 @@
 
 A page becomes a tree of elements. Elements that are never an article's text (scripts, styles, menus,
 page headers, footers, sidebars, notices, adverts, forms, reader comments, by tag, role, class or id) go
-first. For each node left, with C characters, T tags, LC characters and LT tags in links below it, the
+first; by class or id only what holds no main, less text of articles than stands outside, and no more than half of
+the page's unlinked text (reader comments: unless nothing much is outside). For each node left, with C characters, T tags, LC characters and LT tags in links below it, the
 composite text density is C / T times the logarithm of (C / LC) (T / LT) to the base
 ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body and each number of links counts as 1 at least. The node with the largest sum of its children's
 densities is chosen; the smallest density on the path from the body to it is the threshold which other
@@ -17,6 +18,7 @@ repeated in the result.
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import math
 import re
@@ -42,18 +44,20 @@ WORDS = frozenset(
     "sidebar sidebars aside widget widgets related recommended recommendations trending cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login social share sharing shares "
     "comment comments commentlist disqus discussion replies respond search toolbar pagination pager copyright disclaimer banner".split()
 )
+READERS = frozenset("comment comments commentlist disqus discussion replies respond".split())
 SCOPE = frozenset("html body table td th caption object template button article main section".split())
 #: An opening tag on the left closes an open element on the right, if nothing of the scope is between.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tr", "td", "th", "tbody", "thead"), "tfoot": ("tr", "td", "th", "tbody", "thead"), "body": ("head",)}
 
 
 class Node:
-    __slots__ = ("children", "chars", "density", "dropped", "end", "link", "link_chars", "link_tags", "parent", "start", "tag", "tags")
+    __slots__ = ("children", "chars", "density", "dropped", "end", "link", "link_chars", "link_tags", "parent", "start", "suspect", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None, start: int, dropped: bool):
         self.tag, self.parent, self.start, self.end = tag, parent, start, start
         self.children: list[Node] = []
         self.dropped = dropped
+        self.suspect = 0
         self.link = tag == "a" or (parent is not None and parent.link)
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
@@ -77,12 +81,65 @@ def boilerplate(tag: str, attributes: str, parent: Node) -> bool:
             return True
         if name == "role" and value.lower() in ROLES:
             return True
-        if name in ("class", "id"):
-            if any(w.lower() in WORDS for w in PIECES.findall(value)) and "article" not in value.lower():
-                return True
     return False
 
 
+def suspicion(tag: str, attributes: str) -> int:
+    """1 if a word of class or id names a part of a page which isn't the article, 2 if it names readers' comments, else 0."""
+    if not attributes or tag in ("html", "body", "main", "article"):
+        return 0
+    found = 0
+    for name, value in ATTRIBUTE.findall(attributes):
+        value = value.strip("\"'")
+        if name.lower() in ("class", "id") and "article" not in value.lower():
+            words = {w.lower() for w in PIECES.findall(value)}
+            found = max(found, 2 if words & READERS else 1 if words & WORDS else 0)
+    return found
+
+
+def drop_suspects(root: Node) -> None:
+    """Drop suspect subtrees but those that hold a main, more text of articles than is outside, or most of the page's unlinked text."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        if node.dropped:
+            continue
+        inside = inside or node.tag in ("article", "main")
+        order.append((node, inside))
+        stack.extend((c, inside) for c in node.children)
+    if not any(n.suspect for n, _ in order):
+        return
+    plain: dict[int, int] = {}
+    held: dict[int, int] = {}
+    mains: dict[int, bool] = {}
+    own = {}
+    for node, inside in reversed(order):
+        k = id(node)
+        mine = node.chars - node.link_chars
+        own[k] = mine if inside else 0
+        kept = [id(c) for c in node.children if not c.dropped]
+        plain[k] = mine + sum(plain[c] for c in kept)
+        held[k] = own[k] + sum(held[c] for c in kept)
+        mains[k] = any(mains[c] for c in kept) or node.tag == "main" and plain[k] > 0
+    free, waiting, stack = 0, [], [root]
+    whole = plain[id(root)]
+    while stack or waiting:
+        while stack:
+            node = stack.pop()
+            free += own[id(node)]
+            for c in node.children:
+                if c.suspect and not c.dropped:
+                    heapq.heappush(waiting, (c.suspect, -held[id(c)], -plain[id(c)], c.start, id(c), c))
+                elif not c.dropped:
+                    stack.append(c)
+        if waiting:
+            kind, inner, text, _, k, node = heapq.heappop(waiting)
+            if mains[k] or (-inner > (free if kind == 1 else 0) and not (kind == 2 and free)) or (-text * 2 > whole if kind == 1 else -text * 10 > whole * 9):
+                stack.append(node)
+            else:
+                node.dropped = True
+
+
 def parse(page: str) -> tuple[Node, list[str | None]]:
     """The tree, and the page's texts in order, None for a block boundary; nodes hold the bounds of their part."""
     root = Node("#root", None, 0, False)
@@ -134,6 +191,7 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
                 continue
             parent = stack[-1]
             node = Node(name, parent, len(texts), parent.dropped or boilerplate(name, attributes, parent))
+            node.suspect = suspicion(name, attributes)
             if name not in INLINE:
                 texts.append(None)
             parent.children.append(node)
@@ -154,6 +212,7 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
                     break
     close(1)
     root.end = len(texts)
+    drop_suspects(root)
     return root, texts
 
 

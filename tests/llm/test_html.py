@@ -58,3 +58,25 @@ def test_density_prefers_text_over_links():
     order = html.measure(root)
     links, plain = [n for n in order if n.tag == "div"]
     assert plain.density > links.density
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<body><div class='page has-sidebar'><article>%s</article><div class=sidebar>side text</div></div></body>",
+        "<body><div class='no-sidebar'><main>%s</main></div></body>",
+        "<body><div class='layout-sidebar-right'><div><article>%s</article></div></div><div class=widget>more</div></body>",
+        "<body><div id='search-page'><article>%s</article></div></body>",
+        "<body><div class='social notice'>%s</div><p class=share>share it</p></body>",
+        "<body><div class='with-comments'><article>%s</article><div class=comments><article><p>First! I am a reader.</p></article></div></div></body>",
+        "<body><article>%s</article><div class=comments>" + "<article><p>First! I am a reader and this is a comment about it all.</p></article>" * 20 + "</div></body>",
+        "<body><article>%s</article><div class=related><article><p>Another story.</p></article></div></body>",
+    ],
+)
+def test_class_words_of_wrappers_drop_no_article(around):
+    assert html.extract(around % ARTICLE) == TEXT
+
+
+def test_many_suspects_take_no_long_time():
+    assert html.extract("<div class=widget>" * 3000 + "<article>text</article>") == "text"
+    assert html.extract("<p>text of the page, which is long</p>" + "<div class=ad>a</div>" * 50_000).startswith("text")
