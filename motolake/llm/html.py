@@ -5,10 +5,12 @@ page headers, footers, sidebars, notices, adverts, forms, reader comments, by ta
 first; by class or id only what holds no main, less text of articles than stands outside, and no more than half of
 the page's unlinked text (reader comments: unless nothing much is outside). For each node left, with C characters, T tags, LC characters and LT tags in links below it, the
 composite text density is C / T times the logarithm of (C / LC) (T / LT) to the base
-ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body and each number of links counts as 1 at least. The node with the largest sum of its children's
+ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body and each number of links counts as 1 at least. Text
+between the blocks of the body or a main is a node of its own, for which, as for articles and mains, the characters a tag suffice. The node with the largest sum of its children's
 densities is chosen; the smallest density on the path from the body to it is the threshold which other
-subtrees must reach to be kept beside it; blocks of links inside it go. Inside an article or main element the
-whole element is the text.
+subtrees must reach to be kept beside it; blocks of links inside it go. If articles or mains have text, every
+one that reaches the threshold is kept: an article or a main without articles whole, of another main its articles
+and other subtrees that reach the threshold and its first-level headings.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one
 space in page order. Null or empty pages have an empty text. Any markup is read without failing: unknown,
@@ -140,6 +142,49 @@ def drop_suspects(root: Node) -> None:
                 node.dropped = True
 
 
+def loose(node: Node, texts: list[str | None]) -> None:
+    """Give text and inline elements between a node's blocks nodes of their own."""
+    out: list[Node] = []
+    run: list[Node] = []
+    start, chars, links, at = node.start, 0, 0, node.start
+
+    def end(upto: int) -> None:
+        nonlocal run, chars, links
+        if chars or any(c.chars for c in run):
+            box = Node("#text", node, start, False)
+            box.end, box.children, box.chars, box.link_chars = upto, run, chars, links
+            for c in run:
+                c.parent = box
+            node.chars -= chars
+            node.link_chars -= links
+            out.append(box)
+        else:
+            out.extend(run)
+        run, chars, links = [], 0, 0
+
+    for child in [*node.children, None]:
+        upto = child.start if child else node.end
+        chars += sum(len("".join(x.split())) for x in texts[at:upto] if x)
+        if child and not child.dropped and child.tag in INLINE and not any(c.tag not in INLINE for c in below(child)):
+            run.append(child)
+        else:
+            end(upto)
+            if child:
+                out.append(child)
+                start = child.end
+        at = child.end if child else upto
+    node.children = out
+
+
+def below(node: Node):
+    """All nodes under a node."""
+    stack = list(node.children)
+    while stack:
+        found = stack.pop()
+        yield found
+        stack.extend(found.children)
+
+
 def parse(page: str) -> tuple[Node, list[str | None]]:
     """The tree, and the page's texts in order, None for a block boundary; nodes hold the bounds of their part."""
     root = Node("#root", None, 0, False)
@@ -213,6 +258,9 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
     close(1)
     root.end = len(texts)
     drop_suspects(root)
+    for node in [root, *(n for n in below(root) if n.tag in ("html", "body", "main"))]:
+        if not node.dropped and not node.link:
+            loose(node, texts)
     return root, texts
 
 
@@ -247,44 +295,66 @@ def select(order: list[Node]) -> list[Node]:
     if not order:
         return []
     body = next((x for x in order if x.tag == "body"), order[0])
-    body = body if body.chars else order[0]
+    body = body if body.chars == order[0].chars else order[0]
 
     def total(node: Node) -> float:
         return sum(c.density for c in node.children if not c.dropped)
 
-    def holder(node: Node | None) -> Node | None:
-        last = None
-        while node is not None:
-            if node.tag in ("article", "main"):
-                last = node if last is None or node.tag == "article" else last
-            node = node.parent
-        return last
-
-    candidates = [x for x in order if x.chars]
+    candidates, tops, stack = [], [], [(body, False)]
+    inside = []
+    while stack:
+        node, within = stack.pop()
+        if not node.chars or node.dropped:
+            continue
+        if not within and node.tag in ("article", "main"):
+            tops.append(node)
+            within = True
+        candidates.append(node)
+        if within:
+            inside.append(node)
+        stack.extend((c, within) for c in reversed(node.children))
     if not candidates:
         return []
-    inside = [x for x in candidates if holder(x) is not None]
     best = max(inside or candidates, key=total)
-    if inside:
-        return [holder(best)]  # type: ignore[list-item]
     threshold, node = best.density, best.parent
-    above = set()
-    while node is not None:
+    plain = best.chars / max(best.tags, 1)
+    above = {id(body)}
+    while best is not body and node is not None:
         above.add(id(node))
-        threshold = min(threshold, node.density) if node.chars else threshold
+        threshold, plain = min(threshold, node.density), min(plain, node.chars / max(node.tags, 1))
         if node is body:
             break
         node = node.parent
-    chosen, stack = [], [body]
+    holders = set()
+    for x in inside:
+        if x.tag == "article":
+            up = x.parent
+            while up is not None and id(up) not in holders:
+                holders.add(id(up))
+                up = up.parent
+
+    def reaches(node: Node) -> bool:
+        # loose text and short articles have few tags, so the logarithm of a longer block's density is out of their reach
+        dense = node.density >= threshold or node.tag in ("#text", "article", "main") and node.chars / max(node.tags, 1) >= plain
+        return dense and (node.chars > node.link_chars * 2 or not node.link_chars)
+
+    chosen, stack = [], list(tops) or [body]
     while stack:
         node = stack.pop()
-        if node is best:
+        if not node.chars or node.dropped:
+            continue
+        if tops and node.tag == "article" or tops and node.tag == "main" and id(node) not in holders:
+            if id(node) in above or node is best or reaches(node):
+                chosen.append(node)
+        elif tops and (id(node) in holders or id(node) in above):
+            stack.extend(node.children)
+        elif node is best and not tops:
             chosen.append(node)
-        elif id(node) in above or node is body:
-            stack.extend(c for c in node.children if not c.dropped)
-        elif node.density >= threshold and node.chars > node.link_chars * 2:
+        elif id(node) in above and not tops:
+            stack.extend(node.children)
+        elif reaches(node) or tops and node.tag == "h1":
             chosen.append(node)
-    return sorted(chosen, key=lambda x: x.start)
+    return sorted(chosen or [best], key=lambda x: x.start)
 
 
 def linked(node: Node, parent: Node) -> bool:

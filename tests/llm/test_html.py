@@ -80,3 +80,19 @@ def test_class_words_of_wrappers_drop_no_article(around):
 def test_many_suspects_take_no_long_time():
     assert html.extract("<div class=widget>" * 3000 + "<article>text</article>") == "text"
     assert html.extract("<p>text of the page, which is long</p>" + "<div class=ad>a</div>" * 50_000).startswith("text")
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><body>Plain text.</body></html>", "Plain text."),
+        ("<html><body><h1>Title</h1>First line of the text.<br>Second line of the text.<br>Third <b>bold</b> line.</body></html>", "Title First line of the text. Second line of the text. Third bold line."),
+        ("<html>No body here, but text.</html>", "No body here, but text."),
+        ("<body><main><h1>T</h1><article>A</article><article>B</article></main></body>", "T A B"),
+        ("<body><main><h1>T</h1>" + f"<article>{ARTICLE}</article>" * 2 + "<ul><li><a href=x>one link</a><li><a href=y>two link</a></ul></main></body>", f"T {TEXT} {TEXT}"),
+        (f"<body><article>{ARTICLE}</article><nav>n</nav><article>{ARTICLE}</article></body>", f"{TEXT} {TEXT}"),
+        (f"<body>Words before the story, in the body itself, are of the page too.<div>{ARTICLE}</div></body>", f"Words before the story, in the body itself, are of the page too. {TEXT}"),
+    ],
+)
+def test_no_main_text_is_lost(page, text):
+    assert html.extract(page) == text
