@@ -64,6 +64,12 @@ def mistakes(frames: DataFrame, keys: list[str], t: str, confidence: str, s: Set
     return grouped.filter(F.col("mean") < s.mistake_floor).withColumn("start_s", F.col("window") * w).withColumn("flag", text)
 
 
+def mistake_flags(frames: DataFrame, keys: list[str], t: str, confidence: str, s: Settings = DEFAULT) -> DataFrame:
+    """flags of mistakes in order; confidence is a frame's map. Keys without a flag are missing."""
+    found = mistakes(frames.withColumn("_mean", frame_confidence(confidence)), keys, t, "_mean", s)
+    return found.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("window", "flag"))), lambda x: x["flag"]).alias("flags"))
+
+
 def certificates(parts: list[DataFrame], keys: list[str], s: Settings = DEFAULT) -> DataFrame:
     """Components of parts, joined on keys, with quality and notes; components that no part has are null."""
     out = parts[0]

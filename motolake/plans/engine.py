@@ -196,16 +196,34 @@ class Engine:
         """Action intervals; hands: episode_id, side, frame_idx, t, wrist, has_hand, grasped, object_points."""
         return act.label_actions(hands, ["episode_id"], "side", self.settings)
 
-    def certify(self, frames: DataFrame, drift: DataFrame, measured: bool = False) -> DataFrame:
-        """Certificates of canonical episodes. drift: episode_id, drift_ms, fps."""
+    def certify(self, frames: DataFrame, drift: DataFrame, measured: bool = False, *, rigs: DataFrame | None = None, grasped: str = "grasped", simulated: DataFrame | None = None, earlier: DataFrame | None = None) -> DataFrame:
+        """Certificates of canonical episodes. drift: episode_id, drift_ms, fps.
+
+        rigs: rig, channel, for the agreement of frames' contact with the boolean column grasped. simulated, a row an episode:
+        episode_id, embodiment, ik_convergence_rate, reasons. earlier: episode_id, mistakes of the episode's metadata. What
+        isn't given isn't measured. mistakes: windows of low confidence, then earlier ones, then the simulation's reasons.
+        """
         key = ["episode_id"]
         parts = [
             certify.perception_confidence(frames, key, "confidence"),
             certify.calibration_completeness(frames, key, "camera_pose", measured),
             drift.select("episode_id", certify.sync_integrity(F.col("drift_ms"), F.col("fps")).alias("sync_integrity")),
             certify.speed(frames, key, "t", self.settings),
+            certify.mistake_flags(frames, key, "t", "confidence", self.settings),
         ]
-        return certify.certificates(parts, key, self.settings)
+        if rigs is not None:
+            parts.append(certify.contact_consistency(frames, key, "contact", grasped, "rig", rigs))
+        none = F.array().cast("array<string>")
+        more, last = none, none
+        if simulated is not None:
+            reasons = F.transform("reasons", lambda r: F.concat(F.lit("sim_validate["), F.col("embodiment"), F.lit("]: "), r))
+            parts.append(simulated.select("episode_id", F.col("ik_convergence_rate").cast("double").alias("ik_convergence_rate"), reasons.alias("_reasons")))
+            last = F.coalesce("_reasons", none)
+        if earlier is not None:
+            parts.append(earlier.select("episode_id", F.col("mistakes").alias("_earlier")))
+            more = F.coalesce("_earlier", none)
+        out = certify.certificates(parts, key, self.settings)
+        return out.withColumn("mistakes", F.concat(F.array_distinct(F.concat(F.coalesce("flags", none), more)), last)).drop("flags", "_earlier", "_reasons")
 
     def export(self, kind: str, frames: DataFrame, episodes: DataFrame, tier: str = "all") -> DataFrame:
         """Rows of a training dataset: 'table' or 'steps'."""

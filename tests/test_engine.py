@@ -71,3 +71,28 @@ def test_empty_tables(spark):
 
 def test_schema_snapshot_is_stable():
     assert Engine.schema_snapshot() == Engine.schema_snapshot() and '"interaction_state"' in Engine.schema_snapshot()
+
+
+def test_certificates_take_in_contact_simulation_and_mistakes(spark):
+    from motolake.plans.engine import Engine
+    from motolake.settings import Settings
+
+    frames = spark.createDataFrame(
+        [(e, k / 2, "glove" if e == "a" else "head", {"left": {"thumb": 0.9 if k < 3 else 0.1}}, True, {"hand": 0.2 if k < 2 else 0.8}, (1.0,)) for e in "ab" for k in range(4)],
+        "episode_id string, t double, rig string, contact map<string,map<string,double>>, grasped boolean, confidence map<string,double>, camera_pose struct<x:double>",
+    )
+    drift = spark.createDataFrame([(e, 0.0, 30.0) for e in "ab"], "episode_id string, drift_ms double, fps double")
+    rigs = spark.createDataFrame([("glove", "contact"), ("head", "pose")], "rig string, channel string")
+    simulated = spark.createDataFrame([("a", "arm", 0.5, ["teleports"])], "episode_id string, embodiment string, ik_convergence_rate double, reasons array<string>")
+    earlier = spark.createDataFrame([("a", ["dropped it"])], "episode_id string, mistakes array<string>")
+    engine = Engine.__new__(Engine)
+    engine.settings = Settings()
+    out = {r["episode_id"]: r for r in engine.certify(frames, drift, True, rigs=rigs, simulated=simulated, earlier=earlier).collect()}
+    low = "low_confidence@0s-1s(mean 0.20)"
+    assert (out["a"]["contact_consistency"], out["a"]["ik_convergence_rate"], out["a"]["notes"]) == (0.75, 0.5, [])
+    assert out["a"]["mistakes"] == [low, "dropped it", "sim_validate[arm]: teleports"] and out["b"]["mistakes"] == [low]
+    # 1 + 4 (0.15 + 0.3 + 0.35 * 0.5 + 0.05 * 0.75 + 0.15 * 0.5) = 3.95
+    assert out["a"]["quality"] == 4
+    assert out["b"]["notes"] == ["contact_consistency not measured", "ik_convergence_rate not measured"]
+    plain = {r["episode_id"]: r for r in engine.certify(frames, drift, True).collect()}
+    assert plain["a"]["notes"] == out["b"]["notes"] and plain["a"]["mistakes"] == [low]
