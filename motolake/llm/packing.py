@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -42,16 +43,19 @@ class WordTokenizer:
 
     Words are remembered, in two generations of at most ``keep`` each. New words of letters are tokenised
     many at a time: a word's ids end with the one id that carries the end-of-word mark. A word with
-    punctuation behind its letters is its letters and the punctuation. A text in which lower case or
-    white space could mean something else to the tokenizer is tokenised whole.
+    punctuation behind its letters is its letters and the punctuation. The tokenizer composes letters (NFC)
+    before anything else, so texts are composed before they are parted into words; a text whose lower case
+    would compose further, or in which lower case or white space could mean something else to the
+    tokenizer, is tokenised whole.
     """
 
     _own: dict[str, WordTokenizer] = {}
 
     def __init__(self, path: str, keep: int = 450_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.compose = normalizers.NFC()
         self.keep = keep
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -118,7 +122,13 @@ class WordTokenizer:
                 if odd(text):
                     found.append(self.whole(text))
                     continue
-                words = text.lower().split()
+                if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+                    text = self.compose.normalize_str(text)  # its tables may be of another version than Python's
+                lower = text.lower()
+                if not lower.isascii() and not unicodedata.is_normalized("NFC", lower):
+                    found.append(self.whole(text))
+                    continue
+                words = lower.split()
                 ids = list(map(find, words))
                 found.append(ids)
                 if None in ids:

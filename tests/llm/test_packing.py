@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -57,6 +58,15 @@ def test_word_cache_is_exact():
     assert [np.frombuffer(x, "<u4").tolist() + [1] for x in tokenizer.encode_batch(texts)] == [plain(t) for t in texts]
 
 
+def test_word_cache_is_exact_for_all_letters_and_marks():
+    tokenizer = packing.WordTokenizer(P)
+    letters = [chr(c) for c in range(0x80, 0x20000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
+    marks = [chr(c) for c in (*range(0x300, 0x345), 0x5BC, 0x93C, 0x9BC, 0x9BE, 0x9FE, 0xA3C, 0x3099)]
+    rng = random.Random(3)
+    texts = [f"a{c}, {c}. {c}{rng.choice(marks)}{rng.choice(marks)}!" for c in letters] + ["J\u030c, \u092c\u095d, \u0b21\u0b3c."]
+    assert tokenizer.encode_batch(texts) == [tokenizer.whole(t) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 32), max_size=60))
 def test_rule_is_sum_of_squares(lengths):
