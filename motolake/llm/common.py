@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,9 +16,11 @@ MASK = (1 << 64) - 1
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir of the session, set here only where it is unset."""
+    """Folder that driver and executors share: spark.checkpoint.dir of the session; a temporary one where it is unset and everything runs in this process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: executors need a folder that they share")
         found = f"file://{tempfile.mkdtemp(prefix='motolake-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -28,7 +31,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/motolake/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table of materialize that nothing will read again."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id") -> bool:
@@ -37,10 +49,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id") -> bool:
 
 
 def with_row_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
-    """(docs, name of a column of unique ids that are not null): the id, or a number in the order of id and text, written with docs, where ids are null or repeat."""
+    """(docs, name of a column of unique ids that are not null): the id, or a number in the order of id (null last) and text, written with docs, where ids are null or repeat."""
     if not repeats(docs, id_col):
         return docs, id_col
-    return materialize(docs.orderBy(id_col, text_col).withColumn("row_id", F.monotonically_increasing_id()), "row-ids"), "row_id"
+    return materialize(docs.orderBy(F.col(id_col).asc_nulls_last(), text_col).withColumn("row_id", F.monotonically_increasing_id()), "row-ids"), "row_id"
 
 
 def held_out(id_col, folds: int = 5):

@@ -3,25 +3,27 @@
 A document's set is its distinct shingles of five words (fewer words: all of them as one), as 64-bit
 hashes. Two documents link when their Jaccard similarity is at least ``percent`` %.
 
-1. Columns that only one document has can't add to an overlap. Each block of columns, chosen by hash,
-   counts its columns' documents; a document of n shingles of which fewer than percent % of n are
+1. Columns that only one document has can't add to an overlap. Documents come in batches; a column that
+   several documents of a batch have is shared, and announced once; of the others each block of columns,
+   chosen by hash, counts the documents, and replies to the batches. A document of n shingles of which fewer than percent % of n are
    shared has no link and is discarded. Equal sets are found by fingerprint here and go on as one.
 2. The same again between the different sets that are left.
 3. A set's prefix is its n - ceil(percent n / 100) + 1 rarest shingles (frequent ones last); two sets
    that link share one of their prefixes, and the sizes of two sets that link differ by percent at most. Runs of
    sets with compatible sizes in a prefix column join into clusters; sets in different clusters don't
    link.
-4. In a cluster the product is taken row by row, adding up overlaps over the columns of a row, until all
-   rows not yet taken are in one component: links inside a component need no look. Clusters of more
+4. In a cluster the product is taken row by row, adding up overlaps over the columns of a row with the rows
+   whose size can link, until all rows not yet taken are in one component: links inside a component need
+   no look. Pairs below the overlap that their sizes ask for are discarded. Clusters of more
    shingles than ``cluster_shingles`` are cut into blocks of rows, and each pair of blocks is a task.
 5. Components of the links found are those of all links.
 
 Every step's tasks have bounded numbers of shingles; the frequent columns (at most ``frequent``, as the
 sum over columns of their counts bounds their number) are the only thing sent to all tasks.
 
-Null ids are left out. Null texts and texts without words have an empty set and link with nothing. Rows
-that repeat an id count as one document with the largest of their sets. An empty table gives no rows.
-Other columns are ignored.
+Null texts and texts without words have an empty set and link with nothing. Rows whose id is null or
+stands in several rows are documents of their own, with their own set and links; a component's id is the
+smallest id of its rows, null if all are null. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import ODD, PrefixHash, begin, joined, materialize, mix64, segmented_arange, small_batches, wanted_parts
+from motolake.llm.common import ODD, PrefixHash, begin, joined, materialize, mix64, segmented_arange, small_batches, wanted_parts, with_row_ids
 from motolake.llm.components import connected_components
 
 SHINGLE = 5
@@ -89,36 +91,76 @@ def batches_of(column, ids, most: int = 1 << 20):
         a = b
 
 
-def split_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, extra: list[bytes] | None = None, batch: int = 0) -> list[tuple[int, bytes, bytes, bytes, bytes, int]]:
-    """(part, ids, counts, keys, extra, batch) of each block of columns; extra (16 bytes of fingerprint and 4 of size a row) goes to block 0."""
-    sizes = np.array([len(s) for s in sets])
+#: What a batch says of each of its documents: fingerprint and size of its set, and how many of its columns other documents of the batch have too.
+DOCUMENT = np.dtype([("id", "<i8"), ("hi", "<i8"), ("lo", "<i8"), ("n", "<i4"), ("local", "<i4")])
+SEVERAL = np.dtype([("key", "<u4"), ("n", "<u4")])
+
+
+class Announced:
+    """Columns that a task has announced as held by several documents; a bounded number is remembered."""
+
+    def __init__(self, keep: int = 1 << 19):
+        self.keep, self.known = keep, np.zeros(0, np.uint64)
+
+    def new(self, tokens: np.ndarray) -> np.ndarray:
+        """Which of these are not remembered; they are from now on."""
+        fresh = ~np.isin(tokens, self.known)
+        self.known = np.union1d(self.known, tokens) if len(self.known) + len(tokens) <= self.keep else tokens
+        return fresh
+
+
+def split_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, batch: int, prints: list[bytes] | None = None, announced: Announced | None = None) -> list[tuple[int, bytes, bytes, bytes, bytes, bytes, int]]:
+    """(part, ids, counts, keys, several, documents, batch) of each block of columns.
+
+    A column that several documents of the batch have is shared whatever other batches hold, so it is not
+    sent a document: it goes once, with their number, and with ``announced`` only once a task. What the
+    batch says of its documents goes to one block, another for each batch.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
     tokens = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     row = np.repeat(np.arange(len(sets)), sizes)
-    part = (tokens % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    tokens, row, part = tokens[order], row[order], part[order]
-    bounds = np.searchsorted(part, np.arange(parts + 1))
+    distinct, place, height = np.unique(tokens, return_inverse=True, return_counts=True)
+    alone = height[place] == 1
+    about = np.zeros(len(sets), DOCUMENT)
+    about["id"], about["n"] = ids, sizes
+    about["local"] = np.bincount(row[~alone], minlength=len(sets))
+    if prints:
+        about["hi"], about["lo"] = np.frombuffer(b"".join(prints), "<i8").reshape(-1, 2).T
+    several, many = distinct[height > 1], height[height > 1]
+    if announced is not None:
+        fresh = announced.new(several)
+        several, many = several[fresh], many[fresh]
+    tokens, row = tokens[alone], row[alone]
+
+    def by_part(values, *others):
+        part = (values % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        return np.searchsorted(part[order], np.arange(parts + 1)), values[order], *(o[order] for o in others)
+
+    bounds, tokens, row = by_part(tokens, row)
+    ends, several, many = by_part(several, many)
+    home = int(mix64(np.array([batch], np.uint64))[0] % np.uint64(parts))
     out = []
     for p in range(parts):
         a, b = bounds[p], bounds[p + 1]
+        c, d = ends[p], ends[p + 1]
+        if a == b and c == d and p != home:
+            continue
         here, counts = np.unique(row[a:b], return_counts=True)
-        if p == 0 and extra is not None:
-            full = np.zeros(len(sets), np.int64)
-            full[here] = counts
-            here, counts = np.arange(len(sets)), full
-        if len(here):
-            out.append((p, ids[here].astype("<i8").tobytes(), counts.astype("<i4").tobytes(), (tokens[a:b] >> np.uint64(32)).astype("<u4").tobytes(), b"".join(extra) if p == 0 and extra else b"", batch))
+        both = np.zeros(d - c, SEVERAL)
+        both["key"], both["n"] = several[c:d] >> np.uint64(32), many[c:d]
+        out.append((p, ids[here].astype("<i8").tobytes(), counts.astype("<i4").tobytes(), (tokens[a:b] >> np.uint64(32)).astype("<u4").tobytes(), both.tobytes(), about.tobytes() if p == home else b"", batch))
     return out
 
 
-COLUMNS = "part int, ids binary, counts binary, keys binary, extra binary, batch long"
+COLUMNS = "part int, ids binary, counts binary, keys binary, several binary, documents binary, batch long"
 
 
 def record(rows: list[tuple]):
     import pyarrow as pa
 
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["part", "ids", "counts", "keys", "extra", "batch"])
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["part", "ids", "counts", "keys", "several", "documents", "batch"])
 
 
 def batch_numbers():
@@ -134,7 +176,7 @@ def from_buffers(column, kind: str) -> np.ndarray:
 
 
 def count_shared(columns: DataFrame, frequent_from: int | None = None) -> DataFrame:
-    """Replies of blocks of columns: a row for each row of a batch: batch, ids, shared (numbers of shared shingles in the block), extra. With frequent_from, rows without a batch too: keys and counts of frequent columns, as ids and shared."""
+    """Replies of blocks of columns to batches: batch, ids, shared (how many of a document's columns that its batch holds once other batches hold too), documents. With frequent_from, rows without a batch too: keys and counts of frequent columns, as ids and shared."""
 
     def run(table):
         import pyarrow as pa
@@ -142,46 +184,42 @@ def count_shared(columns: DataFrame, frequent_from: int | None = None) -> DataFr
         begin(__name__)
         part = table.column("part")[0].as_py()
         id_blobs = table.column("ids").to_pylist()
-        counts, keys = from_buffers(table.column("counts"), "<i4"), from_buffers(table.column("keys"), "<u4")
+        counts, keys, several = from_buffers(table.column("counts"), "<i4"), from_buffers(table.column("keys"), "<u4"), from_buffers(table.column("several"), SEVERAL)
         row = np.repeat(np.arange(len(counts)), counts)
-        order = np.argsort(keys, kind="stable")
-        in_order = keys[order]
-        new = np.ones(len(keys), bool)
+        every = np.concatenate([keys, several["key"]])
+        number = np.concatenate([np.ones(len(keys), np.int64), several["n"].astype(np.int64)])
+        order = np.argsort(every, kind="stable")
+        in_order = every[order]
+        new = np.ones(len(every), bool)
         new[1:] = in_order[1:] != in_order[:-1]
         first = np.flatnonzero(new)
-        height = np.diff(np.append(first, len(keys)))
-        shared = np.bincount(row[order], np.repeat(height > 1, height), len(counts)).astype("<i4")
+        height = np.add.reduceat(number[order], first) if len(first) else np.zeros(0, np.int64)
+        of_each = np.empty(len(every), np.int64)
+        of_each[order] = np.repeat(height, np.diff(np.append(first, len(every))))
+        shared = np.bincount(row, of_each[: len(keys)] > 1, len(counts)).astype("<i4")
         ends = np.cumsum([len(x) // 8 for x in id_blobs])
         batch, out = table.column("batch").to_pylist(), [shared[e - len(x) // 8 : e].tobytes() for e, x in zip(ends.tolist(), id_blobs, strict=True)]
-        extra = table.column("extra").to_pylist()
+        documents = table.column("documents").to_pylist()
         if frequent_from is not None:
             many = height >= frequent_from
             key = in_order[first[many]].astype("<i8") << 32 | part
-            batch, id_blobs, out, extra = [*batch, None], [*id_blobs, key.astype("<i8").tobytes()], [*out, height[many].astype("<i4").tobytes()], [*extra, b""]
-        return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array(id_blobs, pa.binary()), "shared": pa.array(out, pa.binary()), "extra": pa.array(extra, pa.binary())})
+            batch, id_blobs, out, documents = [*batch, None], [*id_blobs, key.astype("<i8").tobytes()], [*out, height[many].astype("<i4").tobytes()], [*documents, b""]
+        return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array(id_blobs, pa.binary()), "shared": pa.array(out, pa.binary()), "documents": pa.array(documents, pa.binary())})
 
-    return columns.groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, extra binary")
+    return columns.groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, documents binary")
 
 
 def add_shared(replies: DataFrame) -> DataFrame:
-    """doc_id, shared, size, hi, lo of every document of the batches; size and fingerprint are 0 without extra."""
+    """doc_id, shared, size, hi, lo of every document of the batches."""
 
     def run(table):
         import pyarrow as pa
 
         begin(__name__)
         ids, shared = from_buffers(table.column("ids"), "<i8"), from_buffers(table.column("shared"), "<i4")
-        extra = np.frombuffer(b"".join(table.column("extra").to_pylist()), [("hi", "<i8"), ("lo", "<i8"), ("n", "<i4")])
-        docs, place = np.unique(ids, return_inverse=True)
-        total = np.bincount(place, shared, len(docs)).astype(np.int64)
-        out = np.zeros(len(docs), [("n", "<i8"), ("hi", "<i8"), ("lo", "<i8")])
-        if len(extra):  # of block 0, which lists every document of the batch
-            mine = np.concatenate([np.frombuffer(i, "<i8") for i, e in zip(table.column("ids").to_pylist(), table.column("extra").to_pylist(), strict=True) if e])
-            order = np.argsort(extra["n"], kind="stable")  # of rows that repeat an id the largest set stays
-            at = np.searchsorted(docs, mine[order])
-            for c in ("n", "hi", "lo"):
-                out[c][at] = extra[c][order]
-        return pa.table({"doc_id": pa.array(docs), "shared": pa.array(total), "size": pa.array(out["n"]), "hi": pa.array(out["hi"]), "lo": pa.array(out["lo"])})
+        about = np.sort(from_buffers(table.column("documents"), DOCUMENT), order="id")
+        total = about["local"] + np.bincount(np.searchsorted(about["id"], ids), shared, len(about)).astype(np.int64)
+        return pa.table({"doc_id": pa.array(about["id"]), "shared": pa.array(total), "size": pa.array(about["n"].astype(np.int64)), "hi": pa.array(about["hi"]), "lo": pa.array(about["lo"])})
 
     return replies.filter("batch is not null").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
 
@@ -192,59 +230,76 @@ def linked(a: int, b: int, overlap, percent: int):
 
 
 def product_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """For each set the index of the first set of its component."""
+    """For each set the index of the first set of its component.
+
+    Rows are in the order of size, so the rows that a size can link with are a run of each column; overlaps
+    are added up inside these runs only, and pairs below the overlap that both sizes ask for are discarded.
+    """
     k = len(sets)
     label = np.arange(k)
     if k < 2:
         return label
-    sizes = np.array([len(s) for s in sets], np.int64)
-    tokens = np.concatenate(sets)
+    by_size = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in by_size], np.int64)
+    tokens = np.concatenate([sets[i] for i in by_size])
     row = np.repeat(np.arange(k), sizes)
     _, column, height = np.unique(tokens, return_inverse=True, return_counts=True)
     on = height[column] > 1
     row, column = row[on], column[on]
-    order = np.argsort(column, kind="stable")
-    holders, start = row[order], np.searchsorted(column[order], np.arange(len(height) + 1))
+    cells = np.sort(column * k + row)  # the product's other side: rows of each column
+    holders = cells % k
     mine = np.searchsorted(row, np.arange(k + 1))
+    low = np.searchsorted(sizes, -(-percent * sizes // 100))
+    high = np.searchsorted(sizes, 100 * sizes // percent, side="right")
     todo = np.ones(k, bool)
     while True:
         left = np.flatnonzero(todo)
         labels, numbers = np.unique(label[left], return_counts=True)
         if len(labels) < 2:
-            return label
+            break
         # a row outside the largest component that is left
         i = int(left[label[left] != labels[numbers.argmax()]][0])
         todo[i] = False
-        columns = column[mine[i] : mine[i + 1]]
-        counts = start[columns + 1] - start[columns]
-        place = np.repeat(start[columns], counts) + segmented_arange(counts)
-        overlap = np.bincount(holders[place], minlength=k)
-        hit = np.flatnonzero(linked(int(sizes[i]), sizes, overlap, percent) & (overlap > 0))
+        columns = column[mine[i] : mine[i + 1]] * k
+        first = np.searchsorted(cells, columns + low[i])
+        counts = np.searchsorted(cells, columns + high[i]) - first
+        overlap = np.bincount(holders[np.repeat(first, counts) + segmented_arange(counts)] - low[i], minlength=high[i] - low[i])
+        hit = np.flatnonzero(linked(int(sizes[i]), sizes[low[i] : high[i]], overlap, percent) & (overlap > 0)) + low[i]
         hit = hit[hit != i]
         if len(hit):
             groups = np.unique(np.append(label[hit], label[i]))
             label[np.isin(label, groups)] = groups[0]
+    # from places in the order of size to places in the given order
+    least = np.full(k, k)
+    np.minimum.at(least, label, by_size)
+    out = np.empty(k, np.int64)
+    out[by_size] = least[label]
+    return out
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, cluster_shingles: int = 2 << 20, frequent: int = 400_000, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id of every row of docs."""
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
+    docs, own = with_row_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    names = None
+    if own != "doc_id":
+        names = docs.select(own, "doc_id")
+        docs = docs.select(F.col(own).alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(8, wanted_parts(size, block_bytes))
 
     def columns_of_texts(batches):
         begin(__name__)
         held: list[tuple[np.ndarray, np.ndarray, bytes]] = []
-        weight, numbers = 0, batch_numbers()
+        weight, numbers, announced = 0, batch_numbers(), Announced()
 
         def out():
-            return record(split_columns(np.array([h[0] for h in held], np.int64), [h[1] for h in held], parts, [h[2] for h in held], next(numbers)))
+            return record(split_columns(np.array([h[0] for h in held], np.int64), [h[1] for h in held], parts, next(numbers), [h[2] for h in held], announced))
 
         for batch in batches:
             for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
                 for i, s in zip(ids, sets, strict=True):
-                    held.append((i, s, hashlib.blake2b(s.tobytes(), digest_size=16).digest() + len(s).to_bytes(4, "little")))
+                    held.append((i, s, hashlib.blake2b(s.tobytes(), digest_size=16).digest()))
                     weight += len(s) + 8
                 if weight > 1 << 19:
                     yield out()
@@ -252,9 +307,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if held:
             yield out()
 
-    found = add_shared(count_shared(docs.mapInArrow(columns_of_texts, COLUMNS)))
-    whole = F.max(F.struct("size", "hi", "lo"))
-    sums = materialize(found.groupBy("doc_id").agg(F.sum("shared").alias("shared"), whole.alias("s")).select("doc_id", "shared", "s.*"), "jaccard-sizes")
+    sums = materialize(add_shared(count_shared(docs.mapInArrow(columns_of_texts, COLUMNS))), "jaccard-sizes")
     enough = (F.col("shared") * 100 >= F.col("size") * percent) & (F.col("size") > 0)
     classes = sums.filter(enough).groupBy("size", "hi", "lo").agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "jaccard-classes")
@@ -267,10 +320,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["doc_id", "size", "shingles"])
 
-    reps = docs.join(classes.select(F.col("rep").alias("doc_id"), F.col("size").alias("want")).hint("shuffle_hash"), "doc_id")
-    sets = reps.select("doc_id", "text", "want").mapInArrow(sets_of_texts, "doc_id long, size long, shingles binary").groupBy("doc_id", "size").agg(F.max("shingles").alias("shingles"))
-    sets = sets.join(classes.select(F.col("rep").alias("doc_id"), "size"), ["doc_id", "size"], "left_semi")
-    sets = materialize(sets, "jaccard-sets")
+    reps = docs.join(classes.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id")
+    sets = materialize(reps.select("doc_id", "text").mapInArrow(sets_of_texts, "doc_id long, size long, shingles binary"), "jaccard-sets")
     total = sets.agg(F.sum("size")).first()[0] or 0
     parts = max(8, wanted_parts(8 * total, block_bytes))
     least = max(64, wanted_parts(total, frequent))
@@ -284,7 +335,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             a = 0
             while a < len(ids):
                 b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 19))))
-                yield record(split_columns(ids[a:b], blobs[a:b], parts, batch=next(numbers)))
+                yield record(split_columns(ids[a:b], blobs[a:b], parts, next(numbers)))
                 a = b
 
     again = materialize(count_shared(sets.mapInArrow(columns_of_sets, COLUMNS), least), "jaccard-shared")
@@ -292,8 +343,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     common_keys = np.stack([np.concatenate([np.frombuffer(r[c], t).astype(np.int64) for r in often] or [np.zeros(0, np.int64)]) for c, t in (("ids", "<i8"), ("shared", "<i4"))], axis=1)
     common_keys = common_keys[np.argsort(common_keys[:, 0])]
     handle = docs.sparkSession.sparkContext.broadcast(common_keys)
-    kept = add_shared(again).groupBy("doc_id").agg(F.sum("shared").alias("shared"))
-    sets = sets.join(kept, "doc_id").filter(F.col("shared") * 100 >= F.col("size") * percent).select("doc_id", "size", "shingles")
+    sets = sets.join(add_shared(again).select("doc_id", "shared"), "doc_id").filter(F.col("shared") * 100 >= F.col("size") * percent).select("doc_id", "size", "shingles")
     sets = materialize(sets, "jaccard-kept")
 
     def prefixes(batches):
@@ -315,7 +365,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 part = (mine % np.uint64(parts)).astype(np.int64)
                 for p in np.unique(part).tolist():
                     rows[p].append((doc, n, mine[part == p]))
-            out = [(p, np.array([r[0] for r in x], "<i8").tobytes(), np.array([(len(r[2]), r[1]) for r in x], "<i4").tobytes(), np.concatenate([r[2] for r in x]).astype("<u8").tobytes(), b"", 0) for p, x in enumerate(rows) if x]
+            out = [(p, np.array([r[0] for r in x], "<i8").tobytes(), np.array([(len(r[2]), r[1]) for r in x], "<i4").tobytes(), np.concatenate([r[2] for r in x]).astype("<u8").tobytes(), b"", b"", 0) for p, x in enumerate(rows) if x]
             if out:
                 yield record(out)
 
@@ -373,8 +423,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = tasks.groupBy("task").applyInArrow(multiply, "a long, b long")
     components = connected_components(links)
     reps = classes.join(components.withColumnRenamed("node", "rep"), "rep", "left").select("size", "hi", "lo", F.coalesce("component", "rep").alias("component"))
-    out = sums.join(reps, ["size", "hi", "lo"], "left")
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    out = sums.join(reps, ["size", "hi", "lo"], "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    if names is None:
+        return out
+    # row numbers are in the order of ids, so a component's smallest row has its smallest id
+    heads = names.select(F.col(own).alias("component_id"), F.col("doc_id").alias("head"))
+    out = out.withColumnRenamed("doc_id", own).join(names, own).join(heads, "component_id")
+    return out.select("doc_id", "n_shingles", F.col("head").alias("component_id"))
 
 
 def op9_jaccard(spark, sf_dir: str) -> DataFrame:

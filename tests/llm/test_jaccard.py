@@ -74,11 +74,48 @@ def test_white_space_and_capitals(make):
 
 def test_nulls_empty_and_repeated_rows(make):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (6, "q " * 30_000)]
-    out = got(jaccard.near_duplicates(make([*rows, (None, "a b c d e f")])))
-    assert out == expected(rows)
+    out = jaccard.near_duplicates(make([*rows, (None, "a b c d e f"), (None, "p q r")])).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out if r["doc_id"] is not None) == sorted([*expected(rows), (5, 2, 4)])
+    assert sorted((r["n_shingles"], r["component_id"] or 0) for r in out if r["doc_id"] is None) == [(1, 0), (2, 4)]
     assert jaccard.near_duplicates(make([])).count() == 0
 
 
+def test_rows_that_repeat_an_id_keep_their_own_links(make):
+    rng = np.random.default_rng(9)
+    rows, links = [], set()
+    for g in range(8):
+        x, y = ([f"g{g}{c}{rng.integers(1000)}" for _ in range(60)] for c in "xy")
+        at = 10 * g
+        rows += [(at + 1, x), (at + 1, y), (at + 5, x), (at + 7, [*x[:-1], "u"]), (at + 8, y), (at + 9, [*y[:-1], "v"])]
+        links |= {(at + 5, at + 1), (at + 7, at + 1), (at + 8, at + 1), (at + 9, at + 1)}
+    out = jaccard.near_duplicates(make([(i, " ".join(t)) for i, t in rows]))
+    assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == sorted([*links, *[(10 * g + 1, 10 * g + 1) for g in range(8)] * 2])
+
+
+def test_columns_of_one_batch_go_once_and_of_others_are_counted():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(300, rng.integers(0, 40))).astype(np.uint64) << np.uint64(32) for _ in range(40)]
+    held = {}
+    for s in sets:
+        for x in s.tolist():
+            held[x] = held.get(x, 0) + 1
+    shared, sent, announced = np.zeros(40, np.int64), {}, jaccard.Announced(100)
+    for b in range(4):
+        for p, ids, counts, keys, several, documents, _ in jaccard.split_columns(np.arange(10 * b, 10 * b + 10), sets[10 * b : 10 * b + 10], 5, b, None, announced if b < 2 else None):
+            sent.setdefault(p, []).append((np.frombuffer(ids, "<i8"), np.frombuffer(counts, "<i4"), np.frombuffer(keys, "<u4"), np.frombuffer(several, jaccard.SEVERAL)))
+            about = np.frombuffer(documents, jaccard.DOCUMENT)
+            shared[about["id"]] += about["local"]
+    for rows in sent.values():
+        seen = {}
+        for _, _, keys, several in rows:
+            for k, n in [*((k, 1) for k in keys.tolist()), *several.tolist()]:
+                seen[k] = seen.get(k, 0) + n
+        for ids, counts, keys, several in rows:
+            assert len(set(keys.tolist()) & set(several["key"].tolist())) == 0
+            shared += np.bincount(np.repeat(ids, counts), [seen[k] > 1 for k in keys.tolist()], 40).astype(np.int64)
+    assert shared.tolist() == [sum(held[x] > 1 for x in s.tolist()) for s in sets]
+
+
 def test_product_equals_pairs():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.choice(60, rng.integers(1, 40))).astype(np.uint64) for _ in range(60)]
@@ -100,6 +137,7 @@ def test_components_of_paths_and_stars(spark):
     out = {r["node"]: r["component"] for r in connected_components(df).collect()}
     path, star = {int(ids[i]) for i in range(41)}, {int(ids[i]) for i in range(100, 140)}
     assert out == {n: min(path) for n in path} | {n: min(star) for n in star}
+    assert {r["node"]: r["component"] for r in connected_components(df, hub=20).collect()} == out
     assert connected_components(df.limit(0)).count() == 0
 
 
