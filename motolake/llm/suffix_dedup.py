@@ -16,11 +16,16 @@ Segments with equal grams that differ as a whole may still share windows: their
 fingerprinted one by one and go through a second family. Before each shuffle a task keeps one suffix of
 those that are equal, or have equal grams, so a passage that most documents hold reaches a task at most
 once per batch. A task holds ``block_bytes`` of text at most, or one document. Texts are read as UTF-8 bytes,
-whole, whatever their length. Fingerprints have 64 bits and are compared inside equal grams.
+whole, whatever their length.
 
-Null ids are left out. Null texts are empty documents, and come back without spans. Of rows that repeat
-an id each is a document of its own, earlier ones those whose text sorts first. An empty table gives no
-rows. Other columns are ignored.
+Matches are not confirmed on bytes. Two segments match if 64 bits of fingerprint and 32 of their gram are
+equal, two windows if 64 bits are, and only those that were dealt to one task by the same hash are ever
+compared: with n entries a task and p tasks p n^2 / 2^65 false matches of windows are to be expected,
+some tenths of one on 100 TB (n 10^6, p 6 * 10^6), and less of segments.
+
+Null texts are empty documents, and come back without spans. Rows whose id is null or stands in several
+rows are documents of their own, earlier ones those with the smaller id (null last), then those whose text
+sorts first. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -94,6 +99,12 @@ def part_column(col, parts: int):
 
 
 # ---------------------------------------------------------------- index family
+def same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which suffixes are equal: by fingerprint and, if they have one, gram."""
+    equal = a["key"] == b["key"]
+    return equal & (a["gram"] == b["gram"]) if "gram" in a.dtype.names else equal
+
+
 class IndexFamily:
     """Sorted arrays of suffixes with different keys, in levels of geometrically growing sizes."""
 
@@ -112,7 +123,7 @@ class IndexFamily:
             return batch
         batch = self.sort(batch)
         repeat = np.zeros(len(batch), bool)
-        repeat[1:] = batch["key"][1:] == batch["key"][:-1]
+        repeat[1:] = same(batch[1:], batch[:-1])
         later = [batch[repeat]]
         if "many" in batch.dtype.names and repeat.any():
             first = np.flatnonzero(~repeat)
@@ -121,7 +132,7 @@ class IndexFamily:
         for level in self.levels:
             at = np.searchsorted(level["key"], batch["key"])
             at[at == len(level)] = 0
-            mine = np.flatnonzero(level["key"][at] == batch["key"])
+            mine = np.flatnonzero(same(level[at], batch))
             if not len(mine):
                 continue
             held = at[mine]
@@ -404,7 +415,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     these.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep).filter("doc_id is not null")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
     own, name = with_row_ids(docs)
     if name != "doc_id":
         found = remove_repeats(own.drop("doc_id"), id_col=name, length=length, gram=gram, block_bytes=block_bytes, kept=kept, keep=keep)
