@@ -23,8 +23,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below one half; null texts have nothing toxic and stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    table, curve, _ = toxicity.fit(docs, labels)
-    values = toxicity.differences(docs, table, keep=COLUMNS[1:])
+    model, curve = toxicity.fit(docs, labels)
+    values = toxicity.differences(docs, model, keep=COLUMNS[1:])
     return values.filter(toxicity.score_of(curve) < 0.5).select(*COLUMNS)
 
 
