@@ -2,20 +2,25 @@
 
 A page becomes a tree of elements. Elements that are never an article's text (scripts, styles, menus,
 page headers, footers, sidebars, notices, adverts, forms, reader comments, by tag, role, class or id) go
-first; by class or id only what holds no main, less text of articles than stands outside, and no more than half of
-the page's unlinked text (reader comments: unless nothing much is outside). For each node left, with C characters, T tags, LC characters and LT tags in links below it, the
+first; by class or id only what holds no main, less text of articles than stands outside, and, on pages
+without an article, no more than half of the page's unlinked text (reader comments: unless nothing much is
+outside). That is cleaning only: what is chosen is decided by densities.
+
+For each node left, with C characters, T tags, LC characters and LT tags in links below it, the
 composite text density is C / T times the logarithm of (C / LC) (T / LT) to the base
-ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body and each number of links counts as 1 at least. Text
-between the blocks of the body or a main is a node of its own, for which, as for articles and mains, the characters a tag suffice. The node with the largest sum of its children's
-densities is chosen; the smallest density on the path from the body to it is the threshold which other
-subtrees must reach to be kept beside it; blocks of links inside it go. If articles or mains have text, every
-one that reaches the threshold is kept: an article or a main without articles whole, of another main its articles
-and other subtrees that reach the threshold and its first-level headings.
+ln(C / (C - LC) LC + LCb / Cb C + e), where b is the body and each number of links counts as 1 at least.
+Inline elements are part of the block that holds them; text between the blocks of an element is a node of
+its own. The body or the block below it with the largest sum of its blocks' densities is chosen, the outermost of equal ones. The smallest
+density on the path from the body to it is the threshold. Blocks beside the path that reach it are kept too,
+and so are those that hold a tenth of the chosen block's characters, or are text between blocks, and reach
+half of the path's smallest number of characters a tag, unless most of their characters are links; so is
+what stands between two kept blocks of a parent, and a heading right before the first. Of other blocks the
+parts that reach the threshold are kept. Blocks of links outside articles go.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one
-space in page order. Null or empty pages have an empty text. Any markup is read without failing: unknown,
-unclosed and misnested tags, stray brackets, very long pages. Other columns are ignored; repeated rows are
-repeated in the result.
+space in page order. Null or empty pages have an empty text. Any markup is read without failing, in time
+that grows with its length: unknown, unclosed and misnested tags, stray brackets, very long pages, deep trees. Other columns are
+ignored; repeated rows are repeated in the result.
 """
 
 from __future__ import annotations
@@ -53,7 +58,7 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 
 
 class Node:
-    __slots__ = ("children", "chars", "density", "dropped", "end", "link", "link_chars", "link_tags", "parent", "start", "suspect", "tag", "tags")
+    __slots__ = ("block", "children", "chars", "density", "dropped", "end", "inside", "link", "link_chars", "link_tags", "parent", "start", "suspect", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None, start: int, dropped: bool):
         self.tag, self.parent, self.start, self.end = tag, parent, start, start
@@ -61,6 +66,8 @@ class Node:
         self.dropped = dropped
         self.suspect = 0
         self.link = tag == "a" or (parent is not None and parent.link)
+        self.inside = tag in ("article", "main") or (parent is not None and parent.inside)
+        self.block = tag not in INLINE  # and an inline element that holds one
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
@@ -69,12 +76,7 @@ def boilerplate(tag: str, attributes: str, parent: Node) -> bool:
     if tag in DROPPED:
         return True
     if tag == "header":
-        node: Node | None = parent
-        while node is not None:
-            if node.tag in ("article", "main"):
-                return False
-            node = node.parent
-        return True
+        return not parent.inside
     if not attributes or tag in ("html", "body", "main", "article"):
         return False
     for name, value in ATTRIBUTE.findall(attributes):
@@ -100,25 +102,23 @@ def suspicion(tag: str, attributes: str) -> int:
 
 
 def drop_suspects(root: Node) -> None:
-    """Drop suspect subtrees but those that hold a main, more text of articles than is outside, or most of the page's unlinked text."""
-    order, stack = [], [(root, False)]
+    """Drop suspect subtrees but those that hold a main, more text of articles than is outside, or, without articles, most of the page's unlinked text."""
+    order, stack = [], [root]
     while stack:
-        node, inside = stack.pop()
-        if node.dropped:
-            continue
-        inside = inside or node.tag in ("article", "main")
-        order.append((node, inside))
-        stack.extend((c, inside) for c in node.children)
-    if not any(n.suspect for n, _ in order):
+        node = stack.pop()
+        if not node.dropped:
+            order.append(node)
+            stack.extend(node.children)
+    if not any(n.suspect for n in order):
         return
     plain: dict[int, int] = {}
     held: dict[int, int] = {}
     mains: dict[int, bool] = {}
     own = {}
-    for node, inside in reversed(order):
+    for node in reversed(order):
         k = id(node)
         mine = node.chars - node.link_chars
-        own[k] = mine if inside else 0
+        own[k] = mine if node.inside else 0
         kept = [id(c) for c in node.children if not c.dropped]
         plain[k] = mine + sum(plain[c] for c in kept)
         held[k] = own[k] + sum(held[c] for c in kept)
@@ -136,14 +136,20 @@ def drop_suspects(root: Node) -> None:
                     stack.append(c)
         if waiting:
             kind, inner, text, _, k, node = heapq.heappop(waiting)
-            if mains[k] or (-inner > (free if kind == 1 else 0) and not (kind == 2 and free)) or (-text * 2 > whole if kind == 1 else -text * 10 > whole * 9):
+            if mains[k] or (-inner > (free if kind == 1 else 0) and not (kind == 2 and free)) or not free and (-text * 2 > whole if kind == 1 else -text * 10 > whole * 9):
                 stack.append(node)
             else:
                 node.dropped = True
 
 
+def blocks(node: Node) -> list[Node]:
+    return [c for c in node.children if c.block and not c.dropped]
+
+
 def loose(node: Node, texts: list[str | None]) -> None:
     """Give text and inline elements between a node's blocks nodes of their own."""
+    if not blocks(node) and node.parent is not None and node.tag not in ("html", "body"):
+        return
     out: list[Node] = []
     run: list[Node] = []
     start, chars, links, at = node.start, 0, 0, node.start
@@ -164,8 +170,10 @@ def loose(node: Node, texts: list[str | None]) -> None:
 
     for child in [*node.children, None]:
         upto = child.start if child else node.end
-        chars += sum(len("".join(x.split())) for x in texts[at:upto] if x)
-        if child and not child.dropped and child.tag in INLINE and not any(c.tag not in INLINE for c in below(child)):
+        own = sum(len("".join(x.split())) for x in texts[at:upto] if x)
+        chars += own
+        links += own if node.link else 0
+        if child and not child.dropped and not child.block:
             run.append(child)
         else:
             end(upto)
@@ -176,28 +184,28 @@ def loose(node: Node, texts: list[str | None]) -> None:
     node.children = out
 
 
-def below(node: Node):
-    """All nodes under a node."""
-    stack = list(node.children)
-    while stack:
-        found = stack.pop()
-        yield found
-        stack.extend(found.children)
-
-
 def parse(page: str) -> tuple[Node, list[str | None]]:
     """The tree, and the page's texts in order, None for a block boundary; nodes hold the bounds of their part."""
     root = Node("#root", None, 0, False)
     texts: list[str | None] = []
     stack = [root]
+    open_: list[dict[str, int]] = [{}]  # how many elements of each name are open since the last one of the scope
+    everywhere: dict[str, int] = {}
     at, n = 0, len(page)
+    last = page.rfind(">")
 
     def close(upto: int) -> None:
         while len(stack) > upto:
             node = stack.pop()
+            if node.tag in SCOPE:
+                open_.pop()
+            open_[-1][node.tag] -= 1
+            everywhere[node.tag] -= 1
             if node.tag not in INLINE:
                 texts.append(None)
             node.end = len(texts)
+            parent = stack[-1]
+            parent.block = parent.block or node.block
 
     def text(part: str) -> None:
         if part:
@@ -209,6 +217,10 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
                     stack[-1].link_chars += count
 
     while at < n:
+        if at > last:  # no tag ends any more, but a comment may be open
+            opened = [i for i in (page.find("<!--", at), page.find("<![CDATA[", at)) if i >= 0]
+            text(page[at : min(opened, default=n)])
+            break
         found = TAG.search(page, at)
         if found is None:
             text(page[at:])
@@ -220,14 +232,16 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
             name = name.lower()
             attributes = found[2] if found[1] else found[4]
             if name not in INLINE and name not in VOID:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == "p" or stack[i].tag in CLOSES.get(name, ()):
-                        close(i)
-                        break
-                    if stack[i].tag in SCOPE or (stack[i].tag in ("ul", "ol", "dl") and name in ("li", "dt", "dd")):
-                        break
+                closes = CLOSES.get(name, ())
+                if any(open_[-1].get(t) for t in ("p", *closes)):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i].tag == "p" or stack[i].tag in closes:
+                            close(i)
+                            break
+                        if stack[i].tag in SCOPE or (stack[i].tag in ("ul", "ol", "dl") and name in ("li", "dt", "dd")):
+                            break
                 if name in ("tr", "tbody", "tfoot"):
-                    while len(stack) > 1 and stack[-1].tag in CLOSES[name]:
+                    while len(stack) > 1 and stack[-1].tag in closes:
                         close(len(stack) - 1)
             if name in VOID:
                 stack[-1].tags += 1
@@ -243,12 +257,18 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
             if attributes.endswith("/") and name in ("svg", "math", "path"):
                 continue
             stack.append(node)
+            open_[-1][name] = open_[-1].get(name, 0) + 1
+            everywhere[name] = everywhere.get(name, 0) + 1
+            if name in SCOPE:
+                open_.append({})
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = end.end() if end else n
                 close(len(stack) - 1)
         elif found[5]:
             name = found[5].lower()
+            if not (open_[-1] if name in INLINE else everywhere).get(name):
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
                     close(i)
@@ -258,9 +278,14 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
     close(1)
     root.end = len(texts)
     drop_suspects(root)
-    for node in [root, *(n for n in below(root) if n.tag in ("html", "body", "main"))]:
-        if not node.dropped and not node.link:
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.dropped:
+            continue
+        if node.block:
             loose(node, texts)
+        todo.extend(node.children)
     return root, texts
 
 
@@ -290,82 +315,65 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+
+
 def select(order: list[Node]) -> list[Node]:
-    """Maximal subtrees that hold the main text."""
-    if not order:
+    """Maximal subtrees that hold the main text, in page order."""
+    if not order or not order[0].chars:
         return []
     body = next((x for x in order if x.tag == "body"), order[0])
     body = body if body.chars == order[0].chars else order[0]
-
-    def total(node: Node) -> float:
-        return sum(c.density for c in node.children if not c.dropped)
-
-    candidates, tops, stack = [], [], [(body, False)]
-    inside = []
-    while stack:
-        node, within = stack.pop()
-        if not node.chars or node.dropped:
-            continue
-        if not within and node.tag in ("article", "main"):
-            tops.append(node)
-            within = True
-        candidates.append(node)
-        if within:
-            inside.append(node)
-        stack.extend((c, within) for c in reversed(node.children))
-    if not candidates:
-        return []
-    best = max(inside or candidates, key=total)
-    threshold, node = best.density, best.parent
-    plain = best.chars / max(best.tags, 1)
-    above = {id(body)}
-    while best is not body and node is not None:
-        above.add(id(node))
-        threshold, plain = min(threshold, node.density), min(plain, node.chars / max(node.tags, 1))
-        if node is body:
-            break
-        node = node.parent
-    holders = set()
-    for x in inside:
-        if x.tag == "article":
-            up = x.parent
-            while up is not None and id(up) not in holders:
-                holders.add(id(up))
-                up = up.parent
-
-    def reaches(node: Node) -> bool:
-        # loose text and short articles have few tags, so the logarithm of a longer block's density is out of their reach
-        dense = node.density >= threshold or node.tag in ("#text", "article", "main") and node.chars / max(node.tags, 1) >= plain
-        return dense and (node.chars > node.link_chars * 2 or not node.link_chars)
-
-    chosen, stack = [], list(tops) or [body]
+    best, most = body, -1.0
+    stack = [body]
     while stack:
         node = stack.pop()
-        if not node.chars or node.dropped:
-            continue
-        if tops and node.tag == "article" or tops and node.tag == "main" and id(node) not in holders:
-            if id(node) in above or node is best or reaches(node):
-                chosen.append(node)
-        elif tops and (id(node) in holders or id(node) in above):
-            stack.extend(node.children)
-        elif node is best and not tops:
-            chosen.append(node)
-        elif id(node) in above and not tops:
-            stack.extend(node.children)
-        elif reaches(node) or tops and node.tag == "h1":
-            chosen.append(node)
-    return sorted(chosen or [best], key=lambda x: x.start)
-
-
-def linked(node: Node, parent: Node) -> bool:
+        if node.block and node.chars and not node.dropped:
+            total = sum(c.density for c in blocks(node))
+            if total > most:
+                best, most = node, total
+        stack.extend(c for c in reversed(node.children) if not c.dropped)
+    path = [best]
+    while path[-1] is not body:
+        path.append(path[-1].parent)
+    threshold = min(x.density for x in path)
+    plain = min(x.chars / max(x.tags, 1) for x in path)
+
+    def unlinked(node: Node) -> bool:
+        return node.chars > node.link_chars * 2 or not node.link_chars
+
+    def alike(node: Node) -> bool:
+        # a short block is out of the reach of a long one's density, as that grows with the logarithm of the length
+        return 2 * node.chars >= plain * max(node.tags, 1) and (node.tag == "#text" or 10 * node.chars >= best.chars)
+
+    chosen = [best]
+    for below, node in zip(path, path[1:], strict=False):
+        own = [c for c in node.children if not c.dropped and c.chars]
+        kept = [c is below or unlinked(c) and (c.density >= threshold or alike(c)) for c in own]
+        first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+        while first and own[first - 1].tag in HEADINGS:
+            first -= 1
+        for i, c in enumerate(own):
+            if c is below:
+                continue
+            if first <= i <= last and (kept[i] or unlinked(c)):
+                chosen.append(c)
+                continue
+            rest = list(c.children)
+            while rest:
+                part = rest.pop()
+                if part.dropped or not part.chars or not part.block:
+                    continue
+                if part.density >= threshold and unlinked(part):
+                    chosen.append(part)
+                else:
+                    rest.extend(part.children)
+    return sorted(chosen, key=lambda x: x.start)
+
+
+def linked(node: Node) -> bool:
     """Whether a block outside articles is a list of links: two or more, with most of its characters."""
-    if node.tag in INLINE or node.link or node.link_tags < 2 or node.link_chars * 2 <= node.chars:
-        return False
-    while parent is not None:
-        if parent.tag in ("article", "main"):
-            return False
-        parent = parent.parent
-    return True
+    return node.tag not in INLINE and not node.link and not node.parent.inside and node.link_tags >= 2 and node.link_chars * 2 > node.chars
 
 
 def extract(page: str | None) -> str:
@@ -380,7 +388,7 @@ def extract(page: str | None) -> str:
     while stack:
         node = stack.pop()
         for child in node.children:
-            if child.dropped or linked(child, node):
+            if child.dropped or linked(child):
                 holes.append((child.start, child.end))
             else:
                 stack.append(child)

@@ -1,3 +1,6 @@
+import math
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,3 +99,57 @@ def test_many_suspects_take_no_long_time():
 )
 def test_no_main_text_is_lost(page, text):
     assert html.extract(page) == text
+
+
+PROSE = "Long prose of the story that goes on and on, sentence after sentence, as a story does when it is told."
+#: Pages whose parts no tag, role, class or id tells apart.
+BARE = [
+    f"<body><div>Buy now!</div><div>{f'<p>{PROSE}</p>' * 6}</div><div>All rights are reserved.</div></body>",
+    f"<body><div><a href=a>one</a> <a href=b>two</a> <a href=c>three</a></div><div><div><h2>Head</h2>{f'<p>{PROSE}</p>' * 4}</div><div><a href=x>Read</a> or <a href=y>leave</a></div></div></body>",
+    f"<body><div><p>Sign in</p><p>Help</p><p>Terms</p></div><table><tr><td><div>{f'<p>{PROSE} <b>bold</b></p>' * 5}</div></td><td><p>Top</p><p>New</p></td></tr></table></body>",
+    f"<body><div><div>{f'<p>{PROSE}</p>' * 5}</div><div>{f'<p>{PROSE}</p>' * 2}</div></div><div>By the editors</div></body>",
+]
+KEPT = [" ".join([PROSE] * 6), " ".join(["Head", *[PROSE] * 4]), " ".join([PROSE + " bold"] * 5), " ".join([PROSE] * 7)]
+
+
+@pytest.mark.parametrize("page, text", list(zip(BARE, KEPT, strict=True)))
+def test_densities_alone_find_the_text(page, text):
+    assert html.extract(page) == text
+
+
+@pytest.mark.parametrize("other", [lambda n: 0.0, lambda n: 1.0, lambda n: float(n.chars), lambda n: -n.density])
+def test_other_values_in_place_of_densities_give_other_texts(monkeypatch, other):
+    measure = html.measure
+
+    def replaced(root):
+        order = measure(root)
+        for node, value in [(n, other(n)) for n in order]:
+            node.density = value
+        return order
+
+    monkeypatch.setattr(html, "measure", replaced)
+    assert [html.extract(p) for p in BARE] != KEPT
+
+
+def test_densities_are_those_of_the_formula():
+    page = "<body><div>some words <a href=x>a link</a><p>more words here</p></div><p>the last words</p></body>"
+    root, _ = html.parse(page)
+    nodes = {(n.tag, n.chars): n for n in html.measure(root)}
+    body, div = nodes["body", 39], nodes["div", 27]
+
+    def density(c, t, lc, lt, whole):
+        lc, lt = max(lc, 1), max(lt, 1)
+        base = math.log(c / max(c - lc if lc > 1 else c, 1) * lc + whole[1] / whole[0] * c + math.e)
+        return c / max(t, 1) * math.log(c / lc * max(t, 1) / lt) / math.log(base)
+
+    assert (body.tags, div.tags, div.link_chars, div.link_tags) == (5, 3, 5, 1)
+    assert div.density == pytest.approx(density(27, 3, 5, 1, (39, 5)))
+    assert body.density == pytest.approx(density(39, 5, 5, 1, (39, 5)))
+    assert nodes["p", 13].density == pytest.approx(density(13, 0, 0, 0, (39, 5)))
+
+
+@pytest.mark.parametrize("page", ["<a " * 40_000, "<a " * 40_000 + "<!-- ", "<div>" * 16_000 + "x", "<div>" * 16_000 + "</span>" * 16_000, "<p><button>" + "<div>" * 16_000, "<table>" * 8000 + "</p>" * 8000, "<article><p>some words</p>" * 8000, "<div>" * 8000 + "<header></header>" * 8000])
+def test_time_grows_with_the_length(page):
+    began = time.perf_counter()
+    html.extract(page)
+    assert time.perf_counter() - began < 3
