@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import ODD, PrefixHash, begin, joined, materialize, mix64, segmented_arange, small_batches, wanted_parts, with_row_ids
+from motolake.llm.common import ODD, PrefixHash, begin, dealt, joined, materialize, mix64, segmented_arange, small_batches, wanted_parts, with_row_ids
 from motolake.llm.components import connected_components
 
 SHINGLE = 5
@@ -175,7 +175,7 @@ def from_buffers(column, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def count_shared(columns: DataFrame, frequent_from: int | None = None) -> DataFrame:
+def count_shared(columns: DataFrame, parts: int, frequent_from: int | None = None) -> DataFrame:
     """Replies of blocks of columns to batches: batch, ids, shared (how many of a document's columns that its batch holds once other batches hold too), documents. With frequent_from, rows without a batch too: keys and counts of frequent columns, as ids and shared."""
 
     def run(table):
@@ -206,10 +206,10 @@ def count_shared(columns: DataFrame, frequent_from: int | None = None) -> DataFr
             batch, id_blobs, out, documents = [*batch, None], [*id_blobs, key.astype("<i8").tobytes()], [*out, height[many].astype("<i4").tobytes()], [*documents, b""]
         return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array(id_blobs, pa.binary()), "shared": pa.array(out, pa.binary()), "documents": pa.array(documents, pa.binary())})
 
-    return columns.groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, documents binary")
+    return dealt(columns, parts, "part").groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, documents binary")
 
 
-def add_shared(replies: DataFrame) -> DataFrame:
+def add_shared(replies: DataFrame, parts: int) -> DataFrame:
     """doc_id, shared, size, hi, lo of every document of the batches."""
 
     def run(table):
@@ -221,7 +221,7 @@ def add_shared(replies: DataFrame) -> DataFrame:
         total = about["local"] + np.bincount(np.searchsorted(about["id"], ids), shared, len(about)).astype(np.int64)
         return pa.table({"doc_id": pa.array(about["id"]), "shared": pa.array(total), "size": pa.array(about["n"].astype(np.int64)), "hi": pa.array(about["hi"]), "lo": pa.array(about["lo"])})
 
-    return replies.filter("batch is not null").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
+    return dealt(replies.filter("batch is not null"), parts, "batch").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
 
 
 # ---------------------------------------------------------------- product
@@ -307,7 +307,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if held:
             yield out()
 
-    sums = materialize(add_shared(count_shared(docs.mapInArrow(columns_of_texts, COLUMNS))), "jaccard-sizes")
+    sums = materialize(add_shared(count_shared(docs.mapInArrow(columns_of_texts, COLUMNS), parts), parts), "jaccard-sizes")
     enough = (F.col("shared") * 100 >= F.col("size") * percent) & (F.col("size") > 0)
     classes = sums.filter(enough).groupBy("size", "hi", "lo").agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "jaccard-classes")
@@ -338,12 +338,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 yield record(split_columns(ids[a:b], blobs[a:b], parts, next(numbers)))
                 a = b
 
-    again = materialize(count_shared(sets.mapInArrow(columns_of_sets, COLUMNS), least), "jaccard-shared")
+    again = materialize(count_shared(sets.mapInArrow(columns_of_sets, COLUMNS), parts, least), "jaccard-shared")
     often = again.filter("batch is null").select("ids", "shared").collect()
     common_keys = np.stack([np.concatenate([np.frombuffer(r[c], t).astype(np.int64) for r in often] or [np.zeros(0, np.int64)]) for c, t in (("ids", "<i8"), ("shared", "<i4"))], axis=1)
     common_keys = common_keys[np.argsort(common_keys[:, 0])]
     handle = docs.sparkSession.sparkContext.broadcast(common_keys)
-    sets = sets.join(add_shared(again).select("doc_id", "shared"), "doc_id").filter(F.col("shared") * 100 >= F.col("size") * percent).select("doc_id", "size", "shingles")
+    sets = sets.join(add_shared(again, parts).select("doc_id", "shared"), "doc_id").filter(F.col("shared") * 100 >= F.col("size") * percent).select("doc_id", "size", "shingles")
     sets = materialize(sets, "jaccard-kept")
 
     def prefixes(batches):
@@ -388,7 +388,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             pairs = np.unique(np.stack([doc, low], 1)[doc != low], axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    stars = sets.mapInArrow(prefixes, COLUMNS).groupBy("part").applyInArrow(star, "a long, b long")
+    stars = dealt(sets.mapInArrow(prefixes, COLUMNS), parts, "part").groupBy("part").applyInArrow(star, "a long, b long")
     clusters = connected_components(stars)
     inside = materialize(sets.join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"), "jaccard-clusters")
     weights = inside.groupBy("cluster").agg(F.sum("size").alias("weight"))

@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import ODD, begin, held_out, materialize, mix64, small_batches, wanted_parts
+from motolake.llm.common import ODD, begin, dealt, held_out, materialize, mix64, small_batches, wanted_parts
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
@@ -87,7 +87,7 @@ def word_types(vocabulary: Vocabulary, texts: list[list[int]], classes: list[int
     return np.unique(key)
 
 
-def count_words(rows: DataFrame, *, parts: int = 8, flush: int = 200_000, tokens: int = 2_000_000) -> DataFrame:
+def count_words(rows: DataFrame, *, parts: int = 8, flush: int = 200_000, tokens: int = 1_000_000) -> DataFrame:
     """word, ordinary, toxic: how many different histories the word has in the rows (text, toxic) of each class."""
 
     def gather(batches):
@@ -148,8 +148,8 @@ def count_words(rows: DataFrame, *, parts: int = 8, flush: int = 200_000, tokens
         both = [np.bincount(word, toxic == k, len(vocabulary)).astype(np.int64) for k in (0, 1)]
         return pa.table({"word": pa.array(list(vocabulary), pa.string()), "ordinary": pa.array(both[0]), "toxic": pa.array(both[1])})
 
-    dealt = rows.select("text", "toxic").mapInArrow(gather, "part int, words string, counts binary, histories binary")
-    partial = dealt.groupBy("part").applyInArrow(number, "word string, ordinary long, toxic long")
+    sent = rows.select("text", "toxic").mapInArrow(gather, "part int, words string, counts binary, histories binary")
+    partial = dealt(sent, parts, "part").groupBy("part").applyInArrow(number, "word string, ordinary long, toxic long")
     return partial.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
