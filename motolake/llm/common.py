@@ -64,9 +64,9 @@ def wanted_parts(rows: int, per_part: int) -> int:
     return max(1, -(-int(rows) // per_part))
 
 
-def dealt(rows: DataFrame, parts: int, *keys: str) -> DataFrame:
-    """rows dealt to parts partitions by keys: groups by them need no other exchange, and a task's share doesn't grow with the input, whatever the session's number of shuffle partitions."""
-    return rows.repartition(max(parts, 1), *keys)
+def dealt(rows: DataFrame, parts: int, part: str = "part") -> DataFrame:
+    """rows with every number 0 .. parts - 1 of a column in a partition of its own: groups by it need no other exchange, and a task's share doesn't grow with the input, whatever the session's number of shuffle partitions."""
+    return rows.repartitionById(parts, F.col(part))
 
 
 # ---------------------------------------------------------------- memory of Python workers

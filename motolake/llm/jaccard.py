@@ -206,7 +206,7 @@ def count_shared(columns: DataFrame, parts: int, frequent_from: int | None = Non
             batch, id_blobs, out, documents = [*batch, None], [*id_blobs, key.astype("<i8").tobytes()], [*out, height[many].astype("<i4").tobytes()], [*documents, b""]
         return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array(id_blobs, pa.binary()), "shared": pa.array(out, pa.binary()), "documents": pa.array(documents, pa.binary())})
 
-    return dealt(columns, parts, "part").groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, documents binary")
+    return dealt(columns, parts).groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, documents binary")
 
 
 def add_shared(replies: DataFrame, parts: int) -> DataFrame:
@@ -221,7 +221,7 @@ def add_shared(replies: DataFrame, parts: int) -> DataFrame:
         total = about["local"] + np.bincount(np.searchsorted(about["id"], ids), shared, len(about)).astype(np.int64)
         return pa.table({"doc_id": pa.array(about["id"]), "shared": pa.array(total), "size": pa.array(about["n"].astype(np.int64)), "hi": pa.array(about["hi"]), "lo": pa.array(about["lo"])})
 
-    return dealt(replies.filter("batch is not null"), parts, "batch").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
+    return replies.filter("batch is not null").repartition(parts, "batch").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
 
 
 # ---------------------------------------------------------------- product
@@ -388,7 +388,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             pairs = np.unique(np.stack([doc, low], 1)[doc != low], axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    stars = dealt(sets.mapInArrow(prefixes, COLUMNS), parts, "part").groupBy("part").applyInArrow(star, "a long, b long")
+    stars = dealt(sets.mapInArrow(prefixes, COLUMNS), parts).groupBy("part").applyInArrow(star, "a long, b long")
     clusters = connected_components(stars)
     inside = materialize(sets.join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"), "jaccard-clusters")
     weights = inside.groupBy("cluster").agg(F.sum("size").alias("weight"))

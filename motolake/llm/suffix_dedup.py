@@ -342,9 +342,9 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
         look = index[shared_grams(index) | np.isin(index["gram"], told)]
         return table_of(rows + to_parts(np.concatenate([np.zeros(0, SPAN), *(spans(x, 1) for x in later), spans(look, 0)])))
 
-    texts = dealt(docs.withColumn("part", part_column(F.col("doc_id"), parts)), parts, "part")
+    texts = dealt(docs.withColumn("part", part_column(F.col("doc_id"), parts)), parts)
     sent = docs.select("doc_id", "text").mapInArrow(index_texts, BLOCKS)
-    first = dealt(sent, parts, "part").groupBy("part").applyInArrow(scan_suffixes, BLOCKS)
+    first = dealt(sent, parts).groupBy("part").applyInArrow(scan_suffixes, BLOCKS)
 
     def look_closer(texts_of, marks):
         begin(__name__)
@@ -392,7 +392,7 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
             rows += send()
         return table_of(rows)
 
-    closer = texts.groupBy("part").cogroup(dealt(first, parts, "part").groupBy("part")).applyInArrow(look_closer, BLOCKS)
+    closer = texts.groupBy("part").cogroup(dealt(first, parts).groupBy("part")).applyInArrow(look_closer, BLOCKS)
 
     def scan_windows(table):
         begin(__name__)
@@ -403,8 +403,8 @@ def find_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, blo
             rows += to_parts(runs(spans(np.concatenate(later), 1)))
         return table_of(rows)
 
-    second = dealt(closer, parts, "part").groupBy("part").applyInArrow(scan_windows, BLOCKS)
-    return texts, dealt(second, parts, "part"), parts
+    second = dealt(closer, parts).groupBy("part").applyInArrow(scan_windows, BLOCKS)
+    return texts, dealt(second, parts), parts
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, kept: str | None = "bytes", keep: tuple[str, ...] = ()) -> DataFrame:

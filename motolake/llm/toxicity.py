@@ -149,7 +149,7 @@ def count_words(rows: DataFrame, *, parts: int = 8, flush: int = 200_000, tokens
         return pa.table({"word": pa.array(list(vocabulary), pa.string()), "ordinary": pa.array(both[0]), "toxic": pa.array(both[1])})
 
     sent = rows.select("text", "toxic").mapInArrow(gather, "part int, words string, counts binary, histories binary")
-    partial = dealt(sent, parts, "part").groupBy("part").applyInArrow(number, "word string, ordinary long, toxic long")
+    partial = dealt(sent, parts).groupBy("part").applyInArrow(number, "word string, ordinary long, toxic long")
     return partial.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
