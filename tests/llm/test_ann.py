@@ -4,8 +4,8 @@ import pytest
 from motolake.llm import ann
 
 
-def table(spark, rows):
-    return spark.createDataFrame([(i, v, 1, 2, "x") for i, v in rows], "vec_id long, embedding array<float>, rank int, shard int, ids string")
+def table(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, v, 1, 2, "x", 3) for i, v in rows], f"vec_id long, embedding array<{kind}>, rank int, shard int, ids string, dim int")
 
 
 def exact(vectors, q, k):
@@ -49,6 +49,24 @@ def test_unsound_vectors_take_no_part(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out] == [(0, 1, 3, 5.0)]
 
 
+def test_doubles_keep_their_digits_and_their_range(spark):
+    rows = [(0, [0.1, 0.2]), (1, [0.3, 0.7]), (2, [1e300, 1e300]), (3, [1e-300, -1e-300]), (20, [1e300, 1e300])]
+    out = {(r["query_id"], r["vec_id"]): r["score"] for r in search(table(spark, rows, "double"), 5).collect()}
+    assert out[0, 1] == 0.1 * 0.3 + 0.2 * 0.7 and out[0, 2] == 1e300 * 0.1 + 1e300 * 0.2 and out[0, 3] == 0.1 * 1e-300 - 0.2 * 1e-300
+    assert out[20, 2] == float("inf") and len(out) == 8
+
+
+def test_each_length_has_its_own_neighbours(spark):
+    rng = np.random.default_rng(3)
+    lengths = {i: 3 if i % 3 else 5 for i in range(200)}
+    vectors = {i: rng.normal(size=n) for i, n in lengths.items()}
+    out = search(table(spark, [(i, v.tolist()) for i, v in vectors.items()], "double"), 6, shard_points=30).collect()
+    for n in (3, 5):
+        mine = {i: v for i, v in vectors.items() if lengths[i] == n}
+        for q in (i for i in mine if i % 20 == 0):
+            assert [r["vec_id"] for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])] == exact(mine, q, 6)
+
+
 def test_few_and_none(spark):
     assert search(table(spark, []), 20).count() == 0
     assert search(table(spark, [(20, [1.0])]), 20).count() == 0
