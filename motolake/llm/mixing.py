@@ -8,14 +8,17 @@ hypergeometric distribution, from a generator seeded by the node, so any task ca
 without the rest of the tree. Inside a source the blocks are permuted by a seeded bijection; the place
 of a block in the permutation decides by which child it goes down at each node. Shards are thus
 disjoint, use every block once and keep the mixture in proportion. Inside a shard blocks are shuffled
-by a hash.
+by a hash. ``mixture`` writes a document's turn to the shard of the block it begins in, in the order of
+that shard's blocks. Numbers of blocks stay below 2^28, where numpy's hypergeometric draws are exact: larger mixtures have
+blocks of twice as many words, or four times and so on.
 
 Positions in a stream come from two-level prefix sums: over buckets of a source's documents, then inside
 each bucket, so that a source that holds most rows is spread over many tasks. Only a vector with an entry
 per source is sent to the executors; ``max_sources`` is its checked bound.
 
 Null texts and texts without words have size 0 and are taken 0 times. Null is a source of its own, the
-last. Rows that repeat an id each have a place of their own. An empty table gives no rows. Other columns are ignored.
+last. Rows whose id is null or stands in several rows each have a place of their own, by a number in the order of id and text.
+An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,16 +29,18 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motolake.llm.common import begin, materialize, wanted_parts
+from motolake.llm.common import begin, dealt, materialize, wanted_parts, with_row_ids
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size in words."""
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"))
+    """doc_id, key (a unique id), source, size in words."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source"))
+    docs, key = with_row_ids(docs)
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select("doc_id", F.col(key).alias("key"), "source", size.alias("size"))
 
 
 def water_fill(totals: list[int], weights: list[int], repeats: int) -> list[tuple[int, int]]:
@@ -75,17 +80,17 @@ class SplittingTree:
         self.root = tuple(int(q) for q in quotas)
         self.shards, self.seed = shards, seed
         self.slots = sum(self.root)
-        self.drawn: dict[tuple[int, int], tuple[int, ...]] = {}
+        self.drawn: dict[tuple[int, int], tuple[tuple[int, ...], tuple[int, ...]]] = {}
 
     def before(self, shard: int) -> int:
         """Slots of all shards before this one."""
         return shard * (self.slots // self.shards) + min(shard, self.slots % self.shards)
 
-    def left(self, low: int, high: int, counts: tuple[int, ...]) -> tuple[int, ...]:
-        """What the left half of shards low..high gets of counts."""
+    def split(self, low: int, high: int, counts: tuple[int, ...]) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """What the left and the right half of shards low..high get of counts."""
         key = (low, high)
         if key not in self.drawn:
-            if len(self.drawn) > 4096:
+            if len(self.drawn) > max(64, (1 << 22) // (len(counts) + 1)):
                 self.drawn.clear()
             middle = (low + high) // 2
             take, rest = self.before(middle) - self.before(low), sum(counts)
@@ -95,22 +100,31 @@ class SplittingTree:
                 x = int(rng.hypergeometric(c, rest - c, take)) if c and take else 0
                 out.append(x)
                 take, rest = take - x, rest - c
-            self.drawn[key] = tuple(out)
+            self.drawn[key] = tuple(out), tuple(c - x for c, x in zip(counts, out, strict=True))
         return self.drawn[key]
 
     def walk(self, source: int, rank: int) -> int:
         """Shard of the block that stands at rank in its source's permutation."""
         low, high, counts = 0, self.shards, self.root
         while high - low > 1:
-            left = self.left(low, high, counts)
+            left, right = self.split(low, high, counts)
             middle = (low + high) // 2
             if rank < left[source]:
                 high, counts = middle, left
             else:
                 rank -= left[source]
-                low, counts = middle, tuple(c - x for c, x in zip(counts, left, strict=True))
+                low, counts = middle, right
         return low
 
+    def quota(self, shard: int) -> tuple[int, ...]:
+        """Blocks of each source in a shard."""
+        low, high, counts = 0, self.shards, self.root
+        while high - low > 1:
+            middle = (low + high) // 2
+            left, right = self.split(low, high, counts)
+            low, high, counts = (low, middle, left) if shard < middle else (middle, high, right)
+        return counts
+
 
 def permuted(index: int, size: int, seed: str) -> int:
     """A bijection of range(size): a four-round Feistel network that walks its cycle until it is back in range."""
@@ -126,25 +140,30 @@ def permuted(index: int, size: int, seed: str) -> int:
 
 
 def stream_places(sized: DataFrame, bucket_docs: int = 4096) -> DataFrame:
-    """doc_id, source, size and place: the words of the source's documents before this one in the order of md5(doc_id)."""
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    """doc_id, key, source, size and place: the words of the source's documents before this one in the order of md5(key)."""
+    digest = F.md5(F.col("key").cast("string").cast("binary"))
     bits = max(0, (wanted_parts(sized.count(), bucket_docs) - 1).bit_length())
     hexes = -(-bits // 4)
     docs = sized.withColumn("digest", digest).withColumn("bucket", F.substring("digest", 1, hexes) if hexes else F.lit(""))
     heads = docs.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     heads = heads.select("source", "bucket", (F.sum("bucket_size").over(Window.partitionBy("source").orderBy("bucket")) - F.col("bucket_size")).alias("base"))
-    inner = Window.partitionBy("source", "bucket").orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("source", "bucket").orderBy("digest", "key").rowsBetween(Window.unboundedPreceding, 0)
     placed = docs.withColumn("upto", F.sum("size").over(inner))
     same = placed["source"].eqNullSafe(heads["source"]) & (placed["bucket"] == heads["bucket"])
-    return placed.join(heads, same).select("doc_id", placed["source"], "size", (F.col("base") + F.col("upto") - F.col("size")).alias("place"))
+    return placed.join(heads, same).select("doc_id", "key", placed["source"], "size", (F.col("base") + F.col("upto") - F.col("size")).alias("place"))
 
 
-def draw_blocks(spark, plan: list[dict], *, block_words: int = 4096, shard_blocks: int = 256, seed: int = 0, max_blocks: int = 1 << 28) -> DataFrame:
-    """The mixture: source_index, block, first_word and words in the source's stream, shard, and order inside the shard."""
+def block_plan(plan: list[dict], block_words: int, shard_blocks: int, max_blocks: int = 1 << 28) -> tuple[int, list[int], int]:
+    """(words of a block, blocks of each source, shards)."""
     while sum(-(-p["words"] // block_words) for p in plan) > max_blocks:
         block_words *= 2
     quotas = [-(-p["words"] // block_words) for p in plan]
-    shards = wanted_parts(sum(quotas), shard_blocks)
+    return block_words, quotas, wanted_parts(sum(quotas), shard_blocks)
+
+
+def draw_blocks(spark, plan: list[dict], *, block_words: int = 4096, shard_blocks: int = 256, seed: int = 0) -> DataFrame:
+    """The mixture: source_index, block, first_word and words in the source's stream, shard, and order inside the shard."""
+    block_words, quotas, shards = block_plan(plan, block_words, shard_blocks)
     words = [p["words"] for p in plan]
 
     def run(batches):
@@ -169,38 +188,59 @@ def draw_blocks(spark, plan: list[dict], *, block_words: int = 4096, shard_block
     return slots.mapInArrow(run, "source_index int, block long, first_word long, words long, shard long, shard_order long")
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, block_words: int = 4096, shard_blocks: int = 256, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(documents, draws).
-
-    documents: doc_id, source, size, source_size, target, place in the source's stream.
-    draws: a row for each part of a document that a block takes: doc_id, source_index, place, epoch, from_word, n_words, block, shard, shard_order.
-    """
+def draw(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, repeats: int = 3, block_words: int = 4096, shard_blocks: int = 256, seed: int = 0) -> tuple[DataFrame, DataFrame, int]:
+    """What mix returns, and the number of shards."""
     spark = docs.sparkSession
     sized = materialize(sizes(docs, id_col, text_col, source_col), "mix-sizes")
     plan = targets(sized, weights=weights, repeats=repeats)
     table = spark.createDataFrame([(i, p["source"], p["total"], p["target"], p["words"]) for i, p in enumerate(plan)], "source_index int, source string, source_size long, target double, quota long")
     placed = stream_places(sized)
-    placed = placed.join(F.broadcast(table), placed["source"].eqNullSafe(table["source"])).select("doc_id", placed["source"], "size", "source_size", "target", "place", "source_index", "quota")
+    placed = placed.join(F.broadcast(table), placed["source"].eqNullSafe(table["source"])).select("doc_id", "key", placed["source"], "size", "source_size", "target", "place", "source_index", "quota")
     placed = materialize(placed, "mix-places")
-    while sum(-(-p["words"] // block_words) for p in plan) > 1 << 28:
-        block_words *= 2
+    block_words, _, shards = block_plan(plan, block_words, shard_blocks)
     blocks = draw_blocks(spark, plan, block_words=block_words, shard_blocks=shard_blocks, seed=seed)
     start = F.col("epoch") * F.col("source_size") + F.col("place")
     stop = F.least(start + F.col("size"), F.col("quota"))
     turns = placed.filter("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("start", start).withColumn("stop", stop).filter("start < stop")
     width = F.lit(block_words)
     turns = turns.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("stop") - 1) / width))))
-    parts = turns.select("doc_id", "source_index", "place", "epoch", "block", "start", "stop").join(blocks.hint("merge"), ["source_index", "block"])
+    parts = turns.select("doc_id", "key", "source_index", "place", "epoch", "block", "start", "stop").join(blocks.hint("merge"), ["source_index", "block"])
     low, high = F.greatest("start", "first_word"), F.least(F.col("stop"), F.col("first_word") + F.col("words"))
-    draws = parts.select("doc_id", "source_index", "place", "epoch", (low - F.col("start")).alias("from_word"), (high - low).alias("n_words"), "block", "shard", "shard_order")
-    return placed, draws
+    draws = parts.select("doc_id", "key", "source_index", "place", "epoch", (low - F.col("start")).alias("from_word"), (high - low).alias("n_words"), "block", "shard", "shard_order")
+    return placed, draws, shards
+
+
+def mix(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """(documents, draws); options are those of draw.
+
+    documents: doc_id, key, source, size, source_size, target, place in the source's stream.
+    draws: a row for each part of a document that a block takes: doc_id, key, source_index, place, epoch, from_word, n_words, block, shard, shard_order.
+    """
+    return draw(docs, **options)[:2]
+
+
+def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), partition_shards: int = 8, **options) -> DataFrame:
+    """The mixed documents: id, text, columns to keep, shard, epoch; rows stand by shard, inside it in the order of its blocks.
+
+    A document stands as often as the mixture takes it, whole, in the shard of the block it begins in; the
+    one at a target's end is cut to the words taken, parted by single spaces.
+    """
+    docs, own = with_row_ids(docs.select(id_col, text_col, *keep), id_col, text_col)
+    documents, draws, shards = draw(docs, id_col=own, text_col=text_col, **options)
+    turns = draws.groupBy("key", "epoch").agg(F.sum("n_words").alias("n_words"), F.min_by(F.struct("shard", "shard_order"), "block").alias("at"))
+    turns = turns.join(documents.filter("size > 0").select("key", "size", "place"), "key")
+    words = F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.when(F.col("n_words") < F.col("size"), F.array_join(F.slice(words, 1, F.col("n_words").cast("int")), " ")).otherwise(F.col(text_col))
+    rows = docs.join(turns, docs[own] == turns["key"]).select(id_col, text.alias(text_col), *keep, "epoch", "place", F.col("at.shard").alias("shard"), F.col("at.shard_order").alias("shard_order"))
+    rows = dealt(rows.withColumn("part", F.floor(F.col("shard") / partition_shards).cast("int")), wanted_parts(shards, partition_shards))
+    return rows.sortWithinPartitions("shard", "shard_order", "epoch", "place").select(id_col, text_col, *keep, "shard", "epoch")
 
 
 def taken(documents: DataFrame, draws: DataFrame) -> DataFrame:
     """documents with taken: the words that the mixture takes of each, repeats counted."""
-    per_doc = draws.groupBy("source_index", "place").agg(F.sum("n_words").alias("n_taken"))
+    per_doc = draws.groupBy("key").agg(F.sum("n_words").alias("n_taken"))
     full, empty = documents.filter("size > 0"), documents.filter("size = 0")
-    full = full.join(per_doc, ["source_index", "place"], "left").withColumn("taken", F.coalesce("n_taken", F.lit(0)).cast("long"))
+    full = full.join(per_doc, "key", "left").withColumn("taken", F.coalesce("n_taken", F.lit(0)).cast("long"))
     return full.drop("n_taken").unionByName(empty.withColumn("taken", F.lit(0).cast("long")))
 
 

@@ -1,7 +1,7 @@
 """Best-fit packing of token sequences by the sum-of-squares rule.
 
 Every document is tokenised whole, ends with ``end_id`` and is cut only where it is longer than
-``capacity``. Pieces go to packing shards by a hash of their document's id; a shard places its pieces
+``capacity``. Pieces go to packing shards by a hash of their row's number; a shard places its pieces
 from the longest to the shortest, each into that open bin for which the sum over gaps g of
 (open bins with gap g) ** 2 becomes smallest, and opens a bin only if the piece fits in none. Shards
 hold ``shard_docs`` documents on average, so a task's memory does not grow with the input, and each
@@ -247,7 +247,8 @@ def place(pieces: DataFrame, *, capacity: int = 4096, shards: int = 1, keep: tup
         out = [table.column(c) for c in cols]
         return pa.Table.from_arrays([*out, pa.array(bins + (shard << 32)), pa.array(offsets)], [*cols, "sequence_id", "offset"])
 
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
+    # by row, not by id: ids may be null or repeat
+    shard = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard")
     return pieces.select(shard, *cols).groupBy("shard").applyInArrow(run, schema)
 
 

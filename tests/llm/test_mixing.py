@@ -36,7 +36,7 @@ def test_tree_keeps_quotas_and_slots():
 
 
 def test_left_draws_are_multivariate_hypergeometric():
-    draws = np.array([mixing.SplittingTree([30, 10], 2, seed=s).left(0, 2, (30, 10)) for s in range(3000)])
+    draws = np.array([mixing.SplittingTree([30, 10], 2, seed=s).split(0, 2, (30, 10))[0] for s in range(3000)])
     assert (draws.sum(1) == 20).all() and abs(draws[:, 0].mean() - 15) < 0.1
     assert abs(draws[:, 0].var() - 20 * 0.75 * 0.25 * 20 / 39) < 0.2
 
@@ -67,6 +67,39 @@ def test_draws_are_disjoint_and_complete(make):
     assert sorted((r["place"], r["source"] or "", r["taken"]) for r in docs) == sorted((r["place"], r["source"] or "", r["taken"]) for r in again)
 
 
+def test_shards_of_the_output_have_the_tree_s_quotas(make):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(rng.integers(1, 60))), None, "abc"[i % 10 % 3]) for i in range(400)]
+    options = {"block_words": 64, "shard_blocks": 8, "seed": 4}
+    documents, draws, shards = mixing.draw(make(rows), **options)
+    info = {r["source_index"]: (r["quota"], r["source_size"]) for r in documents.collect()}
+    quotas = [-(-info[s][0] // 64) for s in sorted(info)]
+    tree = mixing.SplittingTree(quotas, shards, seed=4)
+    assert shards > 4 and [sum(q) for q in zip(*(tree.quota(s) for s in range(shards)), strict=True)] == quotas
+    blocks = {(r["source_index"], r["block"]): r["shard"] for r in draws.collect()}
+    for shard in range(shards):
+        assert tuple(sum(x == shard for (s, _), x in blocks.items() if s == k) for k in range(len(quotas))) == tree.quota(shard)
+
+    out = mixing.mixture(make(rows), keep=("source",), partition_shards=3, **options)
+    got = [(r["doc_id"], r["text"], r["shard"], r["epoch"], r["p"]) for r in out.withColumn("p", __import__("pyspark").sql.functions.spark_partition_id()).collect()]
+    assert all(shard // 3 == p for *_, shard, _, p in got) and len({p for *_, p in got}) == -(-shards // 3)
+    # a turn is in the shard of the block where it begins, in the order of that shard's blocks
+    order, place = {}, {}
+    for r in draws.orderBy("block").collect():
+        place.setdefault((r["doc_id"], r["epoch"]), (r["shard"], r["shard_order"], r["epoch"], r["place"]))
+    by_part = {}
+    for doc, _, shard, epoch, p in got:
+        assert place[doc, epoch][0] == shard
+        by_part.setdefault(p, []).append(place[doc, epoch])
+    assert all(x == sorted(x) for x in by_part.values())
+    assert sorted((d, e) for d, _, _, e, _ in got) == sorted(place)
+    texts = {i: t for i, t, *_ in rows}
+    short = [d for d, t, *_ in got if t != texts[d]]
+    assert len(short) <= 3 and all(texts[d].startswith(t) for d, t, *_ in got)
+    words = sum(len(t.split()) for t in texts.values())
+    assert abs(sum(len(t.split()) for _, t, *_ in got) - words) <= 3
+
+
 def test_empty_table_and_repeated_ids(make):
     assert mixing.taken(*mixing.mix(make([]))).count() == 0
     out = mixing.taken(*mixing.mix(make([(1, "a b c", None, "s"), (1, "a b c", None, "s"), (None, "d", None, "s")]))).collect()

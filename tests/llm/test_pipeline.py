@@ -51,13 +51,13 @@ def test_stages_one_after_another(spark, folder):
 
     two = through(spark, folder, cp.one_of_each_group(spark, one, folder), "two")
     assert two.columns == COLUMNS
-    ranked = sorted(rows_of(one), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    ranked = sorted(rows_of(one), key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
     keep = {i for i, _, c in groups_of(list(enumerate(t for _, t in ranked))) if i == c}
     assert sorted(rows_of(two), key=str) == sorted((ranked[i] for i in keep), key=str)
 
     three = through(spark, folder, cp.cut_repeats(spark, two, folder), "three")
     assert three.columns == COLUMNS
-    ranked = sorted(rows_of(two), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    ranked = sorted(rows_of(two), key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
     want = []
     for (i, t), (_, raw, gone) in zip(ranked, plain(ranked, 100), strict=True):
         left = bytes(b for b, g in zip(raw, gone, strict=True) if not g).decode()
