@@ -48,16 +48,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture's draws as documents: a document as often as the mixture takes it, and a part of it for a part taken."""
-    docs, own = with_row_ids(docs.select(*COLUMNS))
-    documents, draws = mixing.mix(docs, id_col=own)
-    turns = draws.groupBy("source_index", "place", "epoch").agg(F.sum("n_words").alias("n_words"))
-    turns = documents.filter("size > 0").select("doc_id", "source_index", "place", "size").join(turns, ["source_index", "place"])
-    turns = materialize(turns.groupBy(F.col("doc_id").alias("turn_id")).agg(F.sum((F.col("n_words") == F.col("size")).cast("int")).alias("copies"), F.max(F.when(F.col("n_words") < F.col("size"), F.col("n_words"))).alias("part")), "mixed-turns")
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    head = F.array_join(F.slice(words, 1, F.col("part").cast("int")), " ")
-    times = F.concat(F.array_repeat(F.col("text"), F.col("copies").cast("int")), F.when(F.col("part").isNotNull(), F.array(head)).otherwise(F.array().cast("array<string>")))
-    out = docs.join(turns, docs[own] == turns["turn_id"]).withColumn("text", F.explode(times))
+    """The mixture's documents, written by shard and shuffled inside it: a document as often as the mixture takes it, the last of a target cut to the words taken."""
+    out = mixing.mixture(docs, keep=("lang", "source"))
     return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
