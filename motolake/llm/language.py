@@ -58,6 +58,14 @@ def bind(codes: np.ndarray, dimensions: int) -> np.ndarray:
     return np.roll(table, 2, axis=1)[place[:, 0]] * np.roll(table, 1, axis=1)[place[:, 1]] * table[place[:, 2]]
 
 
+def bundle(counts: np.ndarray, codes: np.ndarray, dimensions: int, step: int = 8192) -> np.ndarray:
+    """Sums of trigrams' vectors by counts (rows x trigrams), some trigrams at a time."""
+    out = np.zeros((len(counts), dimensions), np.float32)
+    for a in range(0, len(codes), step):
+        out += counts[:, a : a + step] @ bind(codes[a : a + step], dimensions).astype(np.float32)
+    return out
+
+
 def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(codes, counts): the trigrams that occur, and how often in each text (texts x trigrams, float32)."""
     none = np.zeros((0, 3), np.int64), np.zeros((len(texts), 0), np.float32)
@@ -86,10 +94,11 @@ def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([symbols[present // size // size], symbols[present // size % size], symbols[present % size]], axis=1), counts
 
 
-def parts(texts: list[str], rows: int = 256, chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def parts(texts: list[str], rows: int = 256, cells: int = 1 << 24) -> Iterator[tuple[int, int]]:
+    """Runs of texts whose number times their characters, which bounds the cells of their table of trigrams, stays below cells; a text of more is a run."""
     start, held = 0, 0
     for i, t in enumerate(texts):
-        if i > start and (i - start >= rows or held + len(t) > chars):
+        if i > start and (i - start >= rows or (i + 1 - start) * (held + len(t)) > cells):
             yield start, i
             start, held = i, 0
         held += len(t)
@@ -116,7 +125,7 @@ def learn_prototypes(rows: DataFrame, *, dimensions: int = DIMENSIONS, max_langu
                 names, place = np.unique(np.array(langs[a:b], object).astype(str), return_inverse=True)
                 own = np.zeros((len(names), counts.shape[1]), np.float32)
                 np.add.at(own, place, counts)
-                made = own @ bind(codes, dimensions).astype(np.float32)
+                made = bundle(own, codes, dimensions)
                 for name, vector in zip(names.tolist(), made, strict=True):
                     if name in sums:
                         sums[name] += vector
@@ -151,7 +160,7 @@ def cosines(texts: list[str], prototypes: np.ndarray) -> tuple[np.ndarray, np.nd
     codes, counts = trigram_counts(texts)
     if not len(codes):
         return np.zeros((len(texts), len(prototypes))), np.zeros(len(texts), bool)
-    bundles = counts @ bind(codes, prototypes.shape[1]).astype(np.float32)
+    bundles = bundle(counts, codes, prototypes.shape[1])
     length = np.sqrt((bundles.astype(np.float64) ** 2).sum(1))
     unit = prototypes / np.maximum(np.sqrt((prototypes**2).sum(1, keepdims=True)), 1e-12)
     return bundles @ unit.T / np.maximum(length, 1e-12)[:, None], counts.any(1)
