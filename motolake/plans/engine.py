@@ -1,8 +1,9 @@
 """The engine: typed tables in, stages as functions of tables, each stage's table kept where the caller says.
 
-A stage's table is written once under a name made of the stage and a hash of the tables and settings it was
-made from, so that running again reads what is there (resume) and changed input makes new tables. Without a
-store, stages are cached for as long as the session wants.
+A stage's table is written once under a name made of the stage and a hash of the tables' rows, the sessions
+asked for and the settings it was made from, so that running again reads what is there (resume) and changed
+input makes new tables. Rows are hashed in one pass over each table; a caller that names the data's ``version``
+spares it. Without a store, stages are cached for as long as the session wants.
 """
 
 from __future__ import annotations
@@ -36,13 +37,26 @@ class Engine:
     settings: Settings = DEFAULT
     mode: str = "head_mounted"
     store_dir: str | None = None
+    version: str | None = None
+    sessions: tuple[str, ...] | None = None
+    prints: dict[str, str] = field(default_factory=dict)
     done: dict[str, DataFrame] = field(default_factory=dict)
     log: list[tuple[str, str]] = field(default_factory=list)
 
     # ------------------------------------------------------------ orchestration
     def key(self, stage: str) -> str:
-        inputs = {k: sorted(f.simpleString() for f in t.schema.fields) for k, t in self.tables.items()}
-        return hashlib.sha256(json.dumps([stage, self.mode, inputs, asdict(self.settings)], sort_keys=True, default=str).encode()).hexdigest()[:16]
+        inputs = {k: [sorted(f.simpleString() for f in t.schema.fields), self.version or self.fingerprint(k)] for k, t in self.tables.items()}
+        return hashlib.sha256(json.dumps([stage, self.mode, inputs, self.sessions, asdict(self.settings)], sort_keys=True, default=str).encode()).hexdigest()[:16]
+
+    def fingerprint(self, name: str) -> str:
+        """Number of a table's rows and the sum of their hashes, whatever their order."""
+        if name not in self.prints:
+            table = self.tables[name]
+            row = F.xxhash64(*(F.to_json(c) if t.startswith(("map", "struct", "array")) else F.col(c) for c, t in table.dtypes))
+            known = F.xxhash64(*(F.col(c).isNull() for c in table.columns))  # hashes skip nulls
+            found = table.agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("a"), F.sum((row.bitwiseXOR(known)).cast("decimal(38,0)")).alias("b")).first()
+            self.prints[name] = f"{found['n']}:{found['a']}:{found['b']}"
+        return self.prints[name]
 
     def stage(self, name: str) -> DataFrame:
         """A stage's table, from this run, from the store, or made now."""
@@ -69,7 +83,9 @@ class Engine:
         """All stages as far as one, for all sessions or some."""
         if sessions is not None:
             self.tables = {k: t.filter(F.col("session_id").isin(*sessions)) if "session_id" in t.columns else t for k, t in self.tables.items()}
+            self.sessions = tuple(sorted(sessions))
             self.done.clear()
+            self.prints.clear()
         return {s: self.stage(s) for s in STAGES[: STAGES.index(upto) + 1]}
 
     def status(self) -> list[tuple[str, str]]:

@@ -19,6 +19,24 @@ def test_all_stages_run_and_are_reused(spark, engine):
     assert {s: engine.stage(s).count() for s in ("sync", "primitives", "phases")} == {"sync": 480, "primitives": 480, "phases": 480}
 
 
+def test_other_rows_and_other_sessions_make_other_tables(spark, engine):
+    from pyspark.sql import functions as F
+
+    other = {**engine.tables, "imu": engine.tables["imu"].withColumn("gx", F.col("gx") + 1e-6)}
+    assert Engine(spark, other, store_dir=engine.store_dir).key("sync") != engine.key("sync")
+    nulls = {**engine.tables, "imu": engine.tables["imu"].withColumn("gx", F.when(F.col("t") > 0, F.col("gx")))}
+    assert Engine(spark, nulls, store_dir=engine.store_dir).key("sync") != engine.key("sync")
+    again = Engine(spark, {k: t.orderBy(F.rand(3)) for k, t in engine.tables.items()}, store_dir=engine.store_dir)
+    assert again.key("sync") == engine.key("sync")
+    some = Engine(spark, dict(engine.tables), store_dir=engine.store_dir)
+    some.run("sync", sessions=["busy"])
+    assert some.log == [("sync", "made")] and some.stage("sync").select("session_id").distinct().count() == 1
+    whole = Engine(spark, dict(engine.tables), store_dir=engine.store_dir)
+    assert whole.stage("sync").select("session_id").distinct().count() == 2
+    one, two = (Engine(spark, engine.tables, store_dir=engine.store_dir, version=v) for v in ("1", "2"))
+    assert one.key("sync") != two.key("sync") and not one.prints
+
+
 def test_phases_follow_the_hand(engine):
     seen = [r["phase"] for r in engine.segments().filter("session_id = 'busy'").orderBy("start_frame").collect()]
     assert "grasp" in seen and "reach" in seen
