@@ -515,7 +515,7 @@ def hamming_pairs(spark, sf_dir):
 @query()
 def dedup_greedy(spark, sf_dir):
     out = dataset_qc.greedy_duplicates_of_all(signs(spark, sf_dir, "label"), "vec_id", "h", Settings(duplicate_similarity=0.8, hash_bits=32))
-    return out.select("label", "vec_id", "duplicate_of", "similarity")
+    return out.select("label", "vec_id", F.coalesce("duplicate_of", F.lit(-1)).alias("duplicate_of"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
 
 
 @query("SELECT sha256(text) AS content_hash, count(*) AS items, min(doc_id) AS first_item FROM documents WHERE text IS NOT NULL GROUP BY 1")
@@ -674,3 +674,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("score", F.round(100 * F.col("active") / F.col("frames"), 6))
 
 
+
+from motolake.plans import scalar_bindings  # noqa: E402, F401  (registers further queries)

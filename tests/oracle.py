@@ -9,7 +9,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 
 def plain(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if value is None or repr(value) == "<NA>" or (isinstance(value, float) and math.isnan(value)):
         return None
     if hasattr(value, "item"):
         value = value.item()
