@@ -219,7 +219,7 @@ def mix(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     return draw(docs, **options)[:2]
 
 
-def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), partition_shards: int = 8, **options) -> DataFrame:
+def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), partition_shards: int = 2, **options) -> DataFrame:
     """The mixed documents: id, text, columns to keep, shard, epoch; rows stand by shard, inside it in the order of its blocks.
 
     A document stands as often as the mixture takes it, whole, in the shard of the block it begins in; the
