@@ -320,7 +320,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["doc_id", "size", "shingles"])
 
-    reps = docs.join(classes.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id")
+    reps = docs.repartition(parts, "doc_id").join(classes.select(F.col("rep").alias("doc_id")).repartition(parts, "doc_id").hint("shuffle_hash"), "doc_id")
     sets = materialize(reps.select("doc_id", "text").mapInArrow(sets_of_texts, "doc_id long, size long, shingles binary"), "jaccard-sets")
     total = sets.agg(F.sum("size")).first()[0] or 0
     parts = max(8, wanted_parts(8 * total, block_bytes))

@@ -38,6 +38,17 @@ def odd(text: str) -> bool:
     return any(x in text for x in ODD_ASCII) if text.isascii() else ODD.search(text) is not None
 
 
+def latin(text: str) -> bool:
+    """Whether all characters lie below U+0100, where nothing composes; quicker than a look at their composition."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordTokenizer:
     """Token ids of texts by way of their words, for a tokenizer that lowers case and never joins text across white space.
 
@@ -122,13 +133,16 @@ class WordTokenizer:
                 if odd(text):
                     found.append(self.whole(text))
                     continue
-                if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-                    text = self.compose.normalize_str(text)  # its tables may be of another version than Python's
-                lower = text.lower()
-                if not lower.isascii() and not unicodedata.is_normalized("NFC", lower):
-                    found.append(self.whole(text))
-                    continue
-                words = lower.split()
+                if latin(text):
+                    words = text.lower().split()
+                else:
+                    if not unicodedata.is_normalized("NFC", text):
+                        text = self.compose.normalize_str(text)  # its tables may be of another version than Python's
+                    lower = text.lower()
+                    if not unicodedata.is_normalized("NFC", lower):
+                        found.append(self.whole(text))
+                        continue
+                    words = lower.split()
                 ids = list(map(find, words))
                 found.append(ids)
                 if None in ids:
