@@ -5,12 +5,13 @@ An embedding's 64 numbers stand for points, boxes, rotations and masks.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from motolake.functions import confidence as conf
 from motolake.functions import geometry as geo
 from motolake.functions import strings
-from motolake.operators import alignment, canonical, privacy, retarget, stats, sync
+from motolake.operators import alignment, canonical, certify, consent, package, privacy, qa, retarget, stats, sync
 from motolake.operators import windows as win
 from motolake.plans.bindings import EV, LEVEL, ORACLE_SQL, RUNS, SIGNS, U, events, lineitem, query, table
 from motolake.settings import DEFAULT
@@ -441,6 +442,134 @@ def privacy_tiers(spark, sf_dir):
     return lineitem(spark, sf_dir, "l_discount").select("l_orderkey", "l_linenumber", privacy.tier(F.col("l_discount") * 10).alias("tier"))
 
 
+# ---------------------------------------------------------------- certificates, gates, joins
+@query("SELECT l_orderkey, l_linenumber, round(CASE WHEN l_linestatus = 'O' THEN -1 ELSE greatest(1 - l_quantity / (1000 / CASE WHEN l_returnflag = 'N' THEN 30.0 ELSE l_linenumber * 10.0 END), 0) END, 6) AS integrity FROM lineitem")
+def sync_integrities(spark, sf_dir):
+    drift, fps = F.when(F.col("l_linestatus") != "O", F.col("l_quantity")), F.when(F.col("l_returnflag") != "N", F.col("l_linenumber") * 10.0)
+    found = certify.sync_integrity(drift, fps)
+    return lineitem(spark, sf_dir, "l_quantity", "l_linestatus", "l_returnflag").select("l_orderkey", "l_linenumber", F.round(F.coalesce(found, F.lit(-1.0)), 6).alias("integrity"))
+
+
+@query("SELECT l_suppkey, round(0.3 * (0.5 + 0.5 * avg(CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END)), 6) AS calibration, round(avg((l_discount + l_tax) / 2), 6) AS perception, round(coalesce(avg(CASE WHEN l_linenumber % 2 = 0 THEN CAST((l_tax > 0.05) = (l_quantity > 25) AS INT) END), -1), 6) AS contact FROM lineitem GROUP BY l_suppkey")
+def certificate_components(spark, sf_dir):
+    li = lineitem(spark, sf_dir, "l_suppkey", "l_returnflag", "l_discount", "l_tax", "l_quantity")
+    li = li.withColumn("pose", F.when(F.col("l_returnflag") != "A", F.lit(1))).withColumn("map", F.create_map(F.lit("a"), "l_discount", F.lit("b"), "l_tax"))
+    li = li.withColumn("contact", F.create_map(F.lit("hand"), F.create_map(F.lit("tip"), F.col("l_tax") * 10))).withColumn("grasped", F.col("l_quantity") > 25)
+    li = li.withColumn("rig", F.when(F.col("l_linenumber") % 2 == 0, "glove").otherwise("bare"))
+    rigs = spark.createDataFrame([("glove", "contact"), ("bare", "pose")], "rig string, channel string")
+    a = certify.calibration_completeness(li, ["l_suppkey"], "pose")
+    b = certify.perception_confidence(li, ["l_suppkey"], "map")
+    c = certify.contact_consistency(li, ["l_suppkey"], "contact", "grasped", "rig", rigs)
+    out = a.join(b, "l_suppkey").join(c, "l_suppkey")
+    return out.select("l_suppkey", *rounded(calibration=F.col("calibration_completeness"), perception=F.col("perception_confidence"), contact=F.coalesce("contact_consistency", F.lit(-1.0))))
+
+
+@query("SELECT p_partkey FROM part WHERE p_size % 3 <> 1")
+def tier_one(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") % 3 == 1, "stage2_anchor").when(F.col("p_size") % 3 == 2, "stage1_volume").alias("tier"))
+    return package.tier_filter(rows, "stage1").select("p_partkey")
+
+
+@query("SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'consent is denied' WHEN l.quality = 0 THEN 'pii is failed' ELSE 'no consent record' END AS reason FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.toxic = 1 OR l.quality = 0")
+def delivery_refusals(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    consent_, pii = F.when(F.col("toxic") == 0, "granted").when(F.col("toxic") == 1, "denied"), F.when(F.col("quality") == 1, "passed").when(F.col("quality") == 0, "failed")
+    rows = docs.select("doc_id", consent_.alias("consent"), pii.alias("pii_status"), F.lit(5).alias("quality"))
+    return package.refusals(rows).select("doc_id", "reason")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'granted' WHEN c_custkey % 3 = 0 THEN 'denied' ELSE 'pending' END AS status, CASE WHEN c_custkey % 2 = 0 THEN 'granted' ELSE 'none' END AS recorded FROM customer")
+def consent_statuses(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    files = c.filter("c_custkey % 2 = 0").withColumn("status", F.lit("granted"))
+    meta = c.filter("c_custkey % 3 = 0").withColumn("consent_status", F.lit("denied"))
+    known = consent.current(c, files.select(F.col("c_custkey").alias("capture_id"), "status"), "c_custkey")
+    return consent.status_of(files, meta, known, "c_custkey").select("c_custkey", F.col("consent_status").alias("status"), F.coalesce("consent", F.lit("none")).alias("recorded"))
+
+
+@query(f"WITH {EV}, g AS (SELECT user_id, abs(value - 30) * 180 / pi() / 20 AS d FROM ev), s AS (SELECT user_id, max(d) AS peak, avg(CAST(d > {S.snap_deg_s} AS INT)) AS fast FROM g GROUP BY user_id) SELECT user_id, round(peak, 4) AS peak_deg_s, round(fast, 6) AS fast_fraction, NOT (user_id % 2 = 0 AND fast > {S.snap_fraction}) AND NOT (user_id % 2 = 1 AND peak < {S.still_peak_deg_s} AND fast < {S.still_spike_fraction}) AS plausible FROM s")
+def mount_checks(spark, sf_dir):
+    ev = events(spark, sf_dir, "value").withColumn("mode", F.when(F.col("user_id") % 2 == 0, "head_mounted").otherwise("wrist_mounted")).withColumn("gx", (F.col("value") - 30) / 20)
+    return qa.mount_plausibility(ev, U, "mode", ["gx"]).select("user_id", F.round("peak_deg_s", 4).alias("peak_deg_s"), F.round("fast_fraction", 6).alias("fast_fraction"), "plausible")
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' AND l_tax > 0.04 THEN 'GRASPED_L' WHEN l_returnflag = 'R' THEN 'GRASPED_R' WHEN l_discount > 0.01 THEN 'MOVING' ELSE 'STATIC' END AS state, round(CASE WHEN l_returnflag = 'R' THEN least(l_quantity / 40, 1) WHEN l_discount > 0.01 THEN l_tax ELSE 0.25 END, 6) AS confidence FROM lineitem")
+def interaction_state(spark, sf_dir):
+    side = F.when(F.col("l_tax") > 0.04, "left").otherwise("right")
+    state = canonical.interaction(F.col("l_returnflag") == "R", side, F.col("l_quantity") / 40, F.col("l_discount"), F.col("l_tax"), F.lit(0.25))
+    return lineitem(spark, sf_dir, "l_returnflag", "l_tax", "l_quantity", "l_discount").select("l_orderkey", "l_linenumber", state["state"].alias("state"), F.round(state["confidence"], 6).alias("confidence"))
+
+
+@query(f"WITH {E} SELECT vec_id, list_sum(list_transform(range(1, 63), lambda i: CASE WHEN e[i] > list_sum(e[1:62]) / 62 THEN CAST(pow(2, 62 - i) AS HUGEINT) ELSE 0 END)) % 1000003 AS bits FROM e")
+def mean_hashes(spark, sf_dir):
+    return numbers(spark, sf_dir).select("vec_id", (strings.mean_hash(part(1, 62)) % 1000003).cast("double").alias("bits"))
+
+
+@query(
+    f"""WITH {EV}, k AS (SELECT user_id, i, CASE WHEN event_type <> 'error' THEN value END AS v FROM ev),
+f AS (SELECT user_id, i, v, max(CASE WHEN v IS NOT NULL THEN i END) OVER b AS bi, last_value(v IGNORE NULLS) OVER b AS bv, min(CASE WHEN v IS NOT NULL THEN i END) OVER a AS ai, first_value(v IGNORE NULLS) OVER a AS av, count(v) OVER (PARTITION BY user_id) AS n FROM k
+WINDOW b AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY user_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+g AS (SELECT user_id, i, v, n, CASE WHEN bi IS NULL THEN av WHEN ai IS NULL THEN bv WHEN ai = bi THEN av ELSE bv + (av - bv) * (i - bi) / (ai - bi) END AS w FROM f)
+SELECT user_id, i, round(CASE WHEN v IS NULL THEN -1 WHEN n < 7 THEN v ELSE avg(w) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) END, 5) AS z FROM g"""
+)
+def smoothed_depths(spark, sf_dir):
+    ev = events(spark, sf_dir, "value", "event_type").withColumn("v", F.when(F.col("event_type") != "error", F.col("value")))
+    return canonical.smooth_depth(ev, U, "i", "v").select("user_id", "i", F.round(F.coalesce("z_smooth", F.lit(-1.0)), 5).alias("z"))
+
+
+NEXT = ["nx", "ny", "nz"]
+ACTION = rotate_sql("a", [f"coalesce({n_}, 0) - e[{k}]" for n_, k in zip(NEXT, (8, 9, 10), strict=True)], back=True)
+
+
+@query(
+    f"""WITH {E}, l AS (SELECT vec_id, label, e FROM embeddings JOIN e USING (vec_id)),
+q AS (SELECT vec_id, e, {q_sql("a", 4)}, {", ".join(f"lead(e[{15 + k}]) OVER w AS {c}" for k, c in enumerate(NEXT))} FROM l WINDOW w AS (PARTITION BY label ORDER BY vec_id))
+SELECT vec_id, nx IS NOT NULL AS action_valid, {", ".join(f"CASE WHEN nx IS NULL THEN -9 ELSE round({x}, 6) END AS {c}" for x, c in zip(ACTION, "xyz", strict=True))} FROM q"""
+)
+def next_actions(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
+    rows = rows.withColumn("wrist", geo.pose(part(15, 3), unit(18))).withColumn("camera", geo.pose(part(8, 3), unit(4)))
+    # without cameras an action is the next pose as it is; here each is then seen from its own frame's camera
+    rows = rows.withColumn("unknown", F.lit(None).cast(rows.schema["camera"].dataType))
+    seen = canonical.actions(rows, ["label"], "vec_id", "wrist", "unknown")
+    local = geo.relative(F.col("camera"), F.col("action"))["position_m"]
+    seen = seen.select("vec_id", "action_valid", local.alias("p"))
+    return seen.select("vec_id", "action_valid", *rounded(**{c: F.coalesce(F.get("p", i), F.lit(-9.0)) for i, c in enumerate("xyz")}))
+
+
+@query(
+    f"""WITH {EV}, s AS (SELECT user_id, min(i) AS lo, max(i) + 3 AS n FROM ev GROUP BY user_id), m AS (SELECT user_id, i // 2 * 2 AS f, avg(value) AS v, count(*) AS k FROM ev GROUP BY ALL),
+g AS (SELECT s.user_id, unnest(range(n)) AS f FROM s), j AS (SELECT g.user_id, g.f, v, k FROM g LEFT JOIN m USING (user_id, f)),
+w AS (SELECT user_id, f, v, k, max(CASE WHEN v IS NOT NULL THEN f END) OVER b AS bi, last_value(v IGNORE NULLS) OVER b AS bv, min(CASE WHEN v IS NOT NULL THEN f END) OVER a AS ai, first_value(v IGNORE NULLS) OVER a AS av FROM j
+WINDOW b AS (PARTITION BY user_id ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY user_id ORDER BY f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT user_id, f AS frame_idx, coalesce(k, 0) AS samples, k IS NULL AS dropout, round(CASE WHEN bi IS NULL THEN av WHEN ai IS NULL THEN bv WHEN ai = bi THEN av ELSE bv + (av - bv) * (f - bi) / (ai - bi) END, 5) AS value FROM w"""
+)
+def frame_groups(spark, sf_dir):
+    ev = events(spark, sf_dir, "value").withColumn("frame", F.floor(F.col("i") / 2) * 2)
+    ev = ev.withColumn("frames", F.max("i").over(Window.partitionBy("user_id")) + 3)
+    return sync.group_by_frame(ev, U, "frame", "frames", ["value"]).select("user_id", "frame_idx", "samples", "dropout", F.round("value", 5).alias("value"))
+
+
+@query(f"WITH {EV}, m AS (SELECT user_id, i // 4 AS frame, median(t + 0.5 * (i % 3)) AS v FROM ev GROUP BY ALL), n AS (SELECT user_id, frame, v, t, row_number() OVER (PARTITION BY user_id, frame ORDER BY abs(t - v), t) AS p FROM ev JOIN m USING (user_id) WHERE i // 4 = frame) SELECT user_id, CAST(frame AS BIGINT) AS frame, round(v, 3) AS video_t, round(t, 3) AS sample_t FROM n WHERE p = 1")
+def frame_clock_medians(spark, sf_dir):
+    ev = events(spark, sf_dir).withColumn("frame", F.floor(F.col("i") / 4)).withColumn("v", F.col("t") + 0.5 * (F.col("i") % 3))
+    out = sync.frame_clocks(ev, U, "frame", "v", "t")
+    return out.select("user_id", "frame", F.round("video_t", 3).alias("video_t"), F.round("sample_t", 3).alias("sample_t"))
+
+
+@query(f"WITH {EV}, d AS (SELECT user_id, i, value + 1 AS d FROM ev), c AS (SELECT *, lag(d) OVER (PARTITION BY user_id ORDER BY i) AS b FROM d) SELECT user_id, round(median(abs(d - b) / b), 5) AS median_change, round(quantile_cont(abs(d - b) / b, 0.9), 5) AS p90_change, round((max(d) - min(d)) / median(d), 5) AS swing FROM c GROUP BY user_id")
+def depth_changes(spark, sf_dir):
+    ev = events(spark, sf_dir, "value").withColumn("point", F.lit(0)).withColumn("d", F.col("value") + 1)
+    out = canonical.depth_consistency(ev, U, "point", "i", "d")
+    return out.select("user_id", *(F.round(c, 5).alias(c) for c in ("median_change", "p90_change", "swing")))
+
+
+@query("SELECT arg_min(l_returnflag, (s, l_returnflag)) AS winner FROM (SELECT l_returnflag, stddev_pop(l_quantity) AS s FROM lineitem GROUP BY 1)")
+def steadiest_model(spark, sf_dir):
+    scores = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.stddev_pop("l_quantity").alias("wobble"))
+    return canonical.compare_models(scores, "l_returnflag", "wobble")
+
+
 # ---------------------------------------------------------------- SQL of folds whose queries stand in bindings.py
 ORACLE_SQL["gap_fill"] = f"""WITH RECURSIVE {EV}, {LEVEL}, {RUNS.format(x="level", src="lv")}, o AS (SELECT user_id, x, n, row_number() OVER (PARTITION BY user_id ORDER BY run) AS k FROM runs),
 f AS (SELECT user_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(x VARCHAR, n BIGINT, o BOOLEAN)[]) AS s FROM (SELECT DISTINCT user_id FROM o) UNION ALL
