@@ -13,7 +13,7 @@ from motolake.functions import geometry as geo
 from motolake.functions import strings
 from motolake.operators import alignment, canonical, certify, consent, package, privacy, qa, retarget, stats, sync
 from motolake.operators import windows as win
-from motolake.plans.bindings import EV, LEVEL, ORACLE_SQL, RUNS, SIGNS, U, events, lineitem, query, table
+from motolake.plans.bindings import EV, LEVEL, ORACLE_SQL, RUNS, SIGNS, U, dedup_greedy, events, lineitem, query, table
 from motolake.settings import DEFAULT
 
 E = "e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)"
@@ -570,14 +570,21 @@ def steadiest_model(spark, sf_dir):
     return canonical.compare_models(scores, "l_returnflag", "wobble")
 
 
-# ---------------------------------------------------------------- SQL of folds whose queries stand in bindings.py
+# ---------------------------------------------------------------- folds whose queries stand in bindings.py
 ORACLE_SQL["gap_fill"] = f"""WITH RECURSIVE {EV}, {LEVEL}, {RUNS.format(x="level", src="lv")}, o AS (SELECT user_id, x, n, row_number() OVER (PARTITION BY user_id ORDER BY run) AS k FROM runs),
 f AS (SELECT user_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(x VARCHAR, n BIGINT, o BOOLEAN)[]) AS s FROM (SELECT DISTINCT user_id FROM o) UNION ALL
 SELECT f.user_id, o.k, CASE WHEN len(s) >= 2 AND s[-1].o AND s[-1].n < 3 AND s[-2].x = o.x THEN list_append(s[1:len(s) - 2], {{'x': o.x, 'n': s[-2].n + s[-1].n + o.n, 'o': false}}) ELSE list_append(s, {{'x': o.x, 'n': o.n, 'o': true}}) END FROM f JOIN o ON o.user_id = f.user_id AND o.k = f.k + 1),
 l AS (SELECT user_id, arg_max(s, k) AS s FROM f GROUP BY user_id), u AS (SELECT user_id, unnest(s) AS e, generate_subscripts(s, 1) AS run FROM l) SELECT user_id, CAST(run AS INT) AS run, e.x AS level, e.n AS n FROM u"""
 
-ORACLE_SQL["dedup_greedy"] = f"""WITH RECURSIVE {SIGNS}, o AS (SELECT vec_id, h, row_number() OVER (ORDER BY vec_id) AS k FROM sg),
+
+@query(
+    f"""WITH RECURSIVE {SIGNS}, o AS (SELECT vec_id, h, row_number() OVER (ORDER BY vec_id) AS k FROM sg),
 f AS (SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS vec_id, CAST([] AS STRUCT(h BIGINT, i BIGINT)[]) AS kept, CAST(NULL AS STRUCT(d INTEGER, i BIGINT)) AS hit UNION ALL
 SELECT k, vec_id, CASE WHEN hit IS NULL THEN list_append(kept, {{'h': h, 'i': vec_id}}) ELSE kept END, hit FROM (
 SELECT o.k, o.vec_id, o.h, kept, list_min(list_filter(list_transform(kept, lambda e: {{'d': CAST(bit_count(xor(e.h, o.h)) AS INTEGER), 'i': e.i}}), lambda e: 1 - e.d / 32 >= 0.8)) AS hit FROM f JOIN o ON o.k = f.k + 1))
 SELECT e.label, f.vec_id, coalesce(f.hit.i, -1) AS duplicate_of, coalesce(1 - f.hit.d / 32, 0) AS similarity FROM f JOIN embeddings e USING (vec_id)"""
+)
+def greedy_duplicates(spark, sf_dir):
+    """dedup_greedy with numbers in place of nulls: -1 and 0 for what is kept."""
+    out = dedup_greedy(spark, sf_dir)
+    return out.select("label", "vec_id", F.coalesce("duplicate_of", F.lit(-1)).alias("duplicate_of"), F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
