@@ -63,6 +63,7 @@ PHASE_PRIMITIVES = {
 }
 
 
+# The thresholds' defaults, on which results depend.
 @dataclass(frozen=True)
 class Settings:
     # clocks
