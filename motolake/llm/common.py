@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MASK = (1 << 64) - 1
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -30,7 +31,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of df with a Parquet table in the shared folder."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/motolake/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # the shuffle files go as soon as the table is written, not when the driver happens to collect its garbage
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, True)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

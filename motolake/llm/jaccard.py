@@ -7,19 +7,20 @@ hashes. Two documents link when their Jaccard similarity is at least ``percent``
    several documents of a batch have is shared, and announced once; of the others each block of columns,
    chosen by hash, counts the documents, and replies to the batches. A document of n shingles of which fewer than percent % of n are
    shared has no link and is discarded. Equal sets are found by fingerprint here and go on as one.
-2. The same again between the different sets that are left.
-3. A set's prefix is its n - ceil(percent n / 100) + 1 rarest shingles (frequent ones last); two sets
+2. The same again between the different sets that are left; each batch is told how many of them hold
+   each of its columns.
+3. A set's prefix is its n - ceil(percent n / 100) + 1 rarest shingles, by these counts; two sets
    that link share one of their prefixes, and the sizes of two sets that link differ by percent at most. Runs of
    sets with compatible sizes in a prefix column join into clusters; sets in different clusters don't
    link.
 4. In a cluster the product is taken row by row, adding up overlaps over the columns of a row with the rows
    whose size can link, until all rows not yet taken are in one component: links inside a component need
    no look. Pairs below the overlap that their sizes ask for are discarded. Clusters of more
-   shingles than ``cluster_shingles`` are cut into blocks of rows, and each pair of blocks is a task.
+   shingles than ``cluster_shingles`` are cut into blocks of rows, and each pair of blocks is a task; a
+   wave of tasks copies each row ``copies`` times at most, and is over before the next one starts.
 5. Components of the links found are those of all links.
 
-Every step's tasks have bounded numbers of shingles; the frequent columns (at most ``frequent``, as the
-sum over columns of their counts bounds their number) are the only thing sent to all tasks.
+Every step's tasks have bounded numbers of shingles, and nothing that grows is sent to all tasks.
 
 Null texts and texts without words have an empty set and link with nothing. Rows whose id is null or
 stands in several rows are documents of their own, with their own set and links; a component's id is the
@@ -28,6 +29,7 @@ smallest id of its rows, null if all are null. An empty table gives no rows. Oth
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 
@@ -35,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motolake.llm.common import ODD, PrefixHash, begin, dealt, joined, materialize, mix64, segmented_arange, small_batches, wanted_parts, with_row_ids
+from motolake.llm.common import ODD, PrefixHash, begin, dealt, joined, materialize, mix64, release, segmented_arange, small_batches, wanted_parts, with_row_ids
 from motolake.llm.components import connected_components
 
 SHINGLE = 5
@@ -175,35 +177,36 @@ def from_buffers(column, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def count_shared(columns: DataFrame, parts: int, frequent_from: int | None = None) -> DataFrame:
-    """Replies of blocks of columns to batches: batch, ids, shared (how many of a document's columns that its batch holds once other batches hold too), documents. With frequent_from, rows without a batch too: keys and counts of frequent columns, as ids and shared."""
+def column_heights(keys: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """For each place the sum of the numbers at all places of its key."""
+    order = np.argsort(keys, kind="stable")
+    in_order = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = in_order[1:] != in_order[:-1]
+    first = np.flatnonzero(new)
+    height = np.add.reduceat(number[order], first) if len(first) else np.zeros(0, np.int64)
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(height, np.diff(np.append(first, len(keys))))
+    return out
+
+
+def count_shared(columns: DataFrame, parts: int) -> DataFrame:
+    """Replies of blocks of columns to batches: batch, ids, shared (how many of a document's columns that its batch holds once other batches hold too), documents."""
 
     def run(table):
         import pyarrow as pa
 
         begin(__name__)
-        part = table.column("part")[0].as_py()
         id_blobs = table.column("ids").to_pylist()
         counts, keys, several = from_buffers(table.column("counts"), "<i4"), from_buffers(table.column("keys"), "<u4"), from_buffers(table.column("several"), SEVERAL)
         row = np.repeat(np.arange(len(counts)), counts)
         every = np.concatenate([keys, several["key"]])
         number = np.concatenate([np.ones(len(keys), np.int64), several["n"].astype(np.int64)])
-        order = np.argsort(every, kind="stable")
-        in_order = every[order]
-        new = np.ones(len(every), bool)
-        new[1:] = in_order[1:] != in_order[:-1]
-        first = np.flatnonzero(new)
-        height = np.add.reduceat(number[order], first) if len(first) else np.zeros(0, np.int64)
-        of_each = np.empty(len(every), np.int64)
-        of_each[order] = np.repeat(height, np.diff(np.append(first, len(every))))
+        of_each = column_heights(every, number)
         shared = np.bincount(row, of_each[: len(keys)] > 1, len(counts)).astype("<i4")
         ends = np.cumsum([len(x) // 8 for x in id_blobs])
         batch, out = table.column("batch").to_pylist(), [shared[e - len(x) // 8 : e].tobytes() for e, x in zip(ends.tolist(), id_blobs, strict=True)]
         documents = table.column("documents").to_pylist()
-        if frequent_from is not None:
-            many = height >= frequent_from
-            key = in_order[first[many]].astype("<i8") << 32 | part
-            batch, id_blobs, out, documents = [*batch, None], [*id_blobs, key.astype("<i8").tobytes()], [*out, height[many].astype("<i4").tobytes()], [*documents, b""]
         return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array(id_blobs, pa.binary()), "shared": pa.array(out, pa.binary()), "documents": pa.array(documents, pa.binary())})
 
     return dealt(columns, parts).groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, documents binary")
@@ -221,7 +224,79 @@ def add_shared(replies: DataFrame, parts: int) -> DataFrame:
         total = about["local"] + np.bincount(np.searchsorted(about["id"], ids), shared, len(about)).astype(np.int64)
         return pa.table({"doc_id": pa.array(about["id"]), "shared": pa.array(total), "size": pa.array(about["n"].astype(np.int64)), "hi": pa.array(about["hi"]), "lo": pa.array(about["lo"])})
 
-    return replies.filter("batch is not null").repartition(parts, "batch").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
+    return replies.repartition(parts, "batch").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
+
+
+# ---------------------------------------------------------------- prefixes
+COUNTS = "part int, batch long, keys binary, counts binary"
+LEVELS = "batch long, part int, keys binary, levels binary"
+
+
+def levels_of(height: np.ndarray) -> np.ndarray:
+    """How frequent a column is, as a byte: exact up to 128, eighths of a power of two beyond."""
+    return np.minimum(np.where(height <= 128, height, 128 + 8 * np.log2(np.maximum(height, 128) / 128)), 255).astype(np.uint8)
+
+
+def count_columns(tokens: np.ndarray, parts: int, batch: int) -> list[tuple[int, int, bytes, bytes]]:
+    """(part, batch, keys, counts) of each block of columns that the sets of a batch, one after another, have."""
+    distinct, counts = np.unique(tokens, return_counts=True)
+    part = (distinct % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+    keys, counts = (distinct[order] >> np.uint64(32)).astype("<u4"), counts[order].astype("<u4")
+    return [(p, batch, keys[a:b].tobytes(), counts[a:b].tobytes()) for p, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
+
+
+def column_levels(columns: DataFrame, parts: int) -> DataFrame:
+    """Replies of blocks of columns to batches: the level of each key that a batch has sent."""
+
+    def run(table):
+        import pyarrow as pa
+
+        begin(__name__)
+        blobs = table.column("keys").to_pylist()
+        level = levels_of(column_heights(from_buffers(table.column("keys"), "<u4"), from_buffers(table.column("counts"), "<u4").astype(np.int64)))
+        ends = np.cumsum([len(x) // 4 for x in blobs]).tolist()
+        replies = [level[e - len(x) // 4 : e].tobytes() for e, x in zip(ends, blobs, strict=True)]
+        return pa.table({"batch": table.column("batch"), "part": table.column("part"), "keys": pa.array(blobs, pa.binary()), "levels": pa.array(replies, pa.binary())})
+
+    return dealt(columns, parts).groupBy("part").applyInArrow(run, LEVELS)
+
+
+def prefix_of(tokens: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray | None:
+    """The rarest tokens of a set, one of which every set that links with it has among its own rarest; tokens of no other set are left out. None if too few are shared for a link."""
+    n = len(tokens)
+    if 100 * int((level > 1).sum()) < percent * n:
+        return None
+    order = np.lexsort((tokens, level))[: n - -(-percent * n // 100) + 1]
+    return tokens[order[level[order] > 1]]
+
+
+def kept_sets(sets: DataFrame, levels: DataFrame, parts: int, percent: int) -> DataFrame:
+    """doc_id, size, shingles, prefix of the sets (doc_id, batch, shingles) that can link."""
+
+    def run(left, right):
+        import pyarrow as pa
+
+        begin(__name__)
+        ids, blobs = left.column("doc_id").to_pylist(), left.column("shingles").to_pylist()
+        key = from_buffers(right.column("keys"), "<u4").astype(np.uint64)
+        part = np.repeat(right.column("part").to_numpy().astype(np.uint64), [len(x) // 4 for x in right.column("keys").to_pylist()])
+        code, level = part << np.uint64(32) | key, from_buffers(right.column("levels"), np.uint8)
+        order = np.argsort(code)
+        code, level = code[order], level[order]
+        out = []
+        for doc, blob in zip(ids, blobs, strict=True):
+            tokens = np.frombuffer(blob, "<u8")
+            at = np.searchsorted(code, tokens % np.uint64(parts) << np.uint64(32) | tokens >> np.uint64(32))
+            prefix = prefix_of(tokens, level[at], percent)
+            if prefix is not None:
+                out.append((doc, len(tokens), blob, prefix.astype("<u8").tobytes()))
+        kinds = {"doc_id": pa.int64(), "size": pa.int64(), "shingles": pa.binary(), "prefix": pa.binary()}
+        return pa.table({name: pa.array([r[i] for r in out], kind) for i, (name, kind) in enumerate(kinds.items())})
+
+    both = (x.repartition(parts, "batch").groupBy("batch") for x in (sets, levels))
+    return next(both).cogroup(next(both)).applyInArrow(run, "doc_id long, size long, shingles binary, prefix binary")
 
 
 # ---------------------------------------------------------------- product
@@ -277,8 +352,8 @@ def product_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return out
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, cluster_shingles: int = 2 << 20, frequent: int = 400_000, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs."""
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, cluster_shingles: int = 2 << 20, frequent: int = 400_000, block_bytes: int = BLOCK_BYTES, copies: int = 8) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of docs. frequent has no effect any more: batches get the counts of all their columns."""
     small_batches(docs.sparkSession)
     docs, own = with_row_ids(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     names = None
@@ -316,52 +391,43 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         import pyarrow as pa
 
         begin(__name__)
+        numbers = batch_numbers()
+        number, weight = next(numbers), 0
         for batch in batches:
             for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["doc_id", "size", "shingles"])
+                mine = []
+                for s in sets:
+                    if weight > 1 << 19:
+                        number, weight = next(numbers), 0
+                    mine.append(number)
+                    weight += len(s) + 8
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(mine, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["doc_id", "batch", "size", "shingles"])
 
     reps = docs.repartition(parts, "doc_id").join(classes.select(F.col("rep").alias("doc_id")).repartition(parts, "doc_id").hint("shuffle_hash"), "doc_id")
-    sets = materialize(reps.select("doc_id", "text").mapInArrow(sets_of_texts, "doc_id long, size long, shingles binary"), "jaccard-sets")
+    sets = materialize(reps.select("doc_id", "text").mapInArrow(sets_of_texts, "doc_id long, batch long, size long, shingles binary"), "jaccard-sets")
     total = sets.agg(F.sum("size")).first()[0] or 0
     parts = max(8, wanted_parts(8 * total, block_bytes))
-    least = max(64, wanted_parts(total, frequent))
 
     def columns_of_sets(batches):
+        import pyarrow as pa
+
         begin(__name__)
-        numbers = batch_numbers()
         for batch in batches:
-            ids, blobs = batch.column(0).to_numpy(), [np.frombuffer(b, "<u8") for b in batch.column(2).to_pylist()]
-            ends = np.cumsum([len(b) for b in blobs])
-            a = 0
-            while a < len(ids):
-                b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 19))))
-                yield record(split_columns(ids[a:b], blobs[a:b], parts, next(numbers)))
-                a = b
-
-    again = materialize(count_shared(sets.mapInArrow(columns_of_sets, COLUMNS), parts, least), "jaccard-shared")
-    often = again.filter("batch is null").select("ids", "shared").collect()
-    common_keys = np.stack([np.concatenate([np.frombuffer(r[c], t).astype(np.int64) for r in often] or [np.zeros(0, np.int64)]) for c, t in (("ids", "<i8"), ("shared", "<i4"))], axis=1)
-    common_keys = common_keys[np.argsort(common_keys[:, 0])]
-    handle = docs.sparkSession.sparkContext.broadcast(common_keys)
-    sets = sets.join(add_shared(again, parts).select("doc_id", "shared"), "doc_id").filter(F.col("shared") * 100 >= F.col("size") * percent).select("doc_id", "size", "shingles")
-    sets = materialize(sets, "jaccard-kept")
+            numbers, blobs = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for number in np.unique(numbers).tolist():
+                rows = count_columns(np.frombuffer(b"".join(blobs[i] for i in np.flatnonzero(numbers == number)), "<u8"), parts, number)
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["part", "batch", "keys", "counts"])
 
-    def prefixes(batches):
-        import pyarrow as pa
+    levels = column_levels(sets.select("batch", "shingles").mapInArrow(columns_of_sets, COUNTS), parts)
+    kept = materialize(kept_sets(sets.select("doc_id", "batch", "shingles"), levels, parts, percent), "jaccard-kept")
+    release(sets)
 
+    def prefixes(batches):
         begin(__name__)
-        common = handle.value
         for batch in batches:
             rows: list[list[tuple]] = [[] for _ in range(parts)]
             for doc, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                tokens = np.frombuffer(blob, "<u8")
-                height = np.zeros(n, np.int64)
-                if len(common):
-                    key = (tokens >> np.uint64(32)).astype(np.int64) << 32 | (tokens % np.uint64(parts)).astype(np.int64)
-                    at = np.minimum(np.searchsorted(common[:, 0], key), len(common) - 1)
-                    height = np.where(common[at, 0] == key, common[at, 1], 0)
-                order = np.lexsort((tokens, height))[: n - -(-percent * n // 100) + 1]
-                mine = tokens[order]
+                mine = np.frombuffer(blob, "<u8")
                 part = (mine % np.uint64(parts)).astype(np.int64)
                 for p in np.unique(part).tolist():
                     rows[p].append((doc, n, mine[part == p]))
@@ -388,18 +454,25 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             pairs = np.unique(np.stack([doc, low], 1)[doc != low], axis=0)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    stars = dealt(sets.mapInArrow(prefixes, COLUMNS), parts).groupBy("part").applyInArrow(star, "a long, b long")
+    stars = dealt(kept.select("doc_id", "size", "prefix").mapInArrow(prefixes, COLUMNS), parts).groupBy("part").applyInArrow(star, "a long, b long")
     clusters = connected_components(stars)
-    inside = materialize(sets.join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"), "jaccard-clusters")
+    inside = clustered = materialize(kept.drop("prefix").join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"), "jaccard-clusters")
+    release(kept)
     weights = inside.groupBy("cluster").agg(F.sum("size").alias("weight"))
-    bins = wanted_parts(inside.agg(F.sum("size")).first()[0] or 0, cluster_shingles)
+    bins = wanted_parts(inside.agg(F.sum("size")).first()[0] or 0, max(1, cluster_shingles // 8))
     heavy = materialize(weights.filter(F.col("weight") > cluster_shingles).select("cluster", F.ceil(F.col("weight") * 2 / cluster_shingles).cast("int").alias("blocks")), "jaccard-heavy")
     # a heavy cluster is a hot key of this join; each holds over cluster_shingles of all shingles, so they are few, and beyond that Spark splits the key
     inside = inside.join(F.broadcast(heavy) if heavy.count() <= 100_000 else heavy, "cluster", "left")
     light = inside.filter("blocks is null").withColumn("task", F.concat(F.lit("b"), F.pmod(F.xxhash64("cluster"), F.lit(bins))))
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long"))
-    cut = inside.filter("blocks is not null").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
-    cut = cut.withColumn("task", F.concat_ws(":", "cluster", F.least("mine", "other"), F.greatest("mine", "other"))).drop("mine", "other")
+    most, step = heavy.agg(F.max("blocks")).first()[0] or 0, max(1, copies // 2)
+
+    def wave(k: int) -> DataFrame:
+        """Tasks of the pairs of blocks that lie k * step to (k + 1) * step - 1 apart on the ring of a cluster's blocks."""
+        blocks = F.col("blocks").cast("long")
+        far = F.sequence(F.lit(k * step).cast("long"), F.least(F.lit((k + 1) * step - 1), F.floor(blocks / 2)))
+        both = F.array_distinct(F.flatten(F.transform(far, lambda r: F.array(F.pmod(F.col("mine") + r, blocks), F.pmod(F.col("mine") - r, blocks)))))
+        cut = inside.filter(F.floor(blocks / 2) >= k * step).withColumn("mine", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("other", F.explode(both))
+        return cut.withColumn("task", F.concat_ws(":", "cluster", F.least("mine", "other"), F.greatest("mine", "other"))).drop("mine", "other")
 
     def multiply(table):
         import pyarrow as pa
@@ -419,9 +492,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             b.append(doc[joined_to[on]])
         return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
 
-    tasks = light.unionByName(cut).select("task", "cluster", "doc_id", "shingles")
-    links = tasks.groupBy("task").applyInArrow(multiply, "a long, b long")
-    components = connected_components(links)
+    def links_of(tasks: DataFrame) -> DataFrame:
+        return tasks.select("task", "cluster", "doc_id", "shingles").groupBy("task").applyInArrow(multiply, "a long, b long")
+
+    found = [materialize(links_of(light.unionByName(wave(0)) if k == 0 else wave(k)), "jaccard-links") for k in range(most // 2 // step + 1)]
+    components = connected_components(functools.reduce(DataFrame.unionByName, found))
+    for done in (clustered, heavy, *found):
+        release(done)
     reps = classes.join(components.withColumnRenamed("node", "rep"), "rep", "left").select("size", "hi", "lo", F.coalesce("component", "rep").alias("component"))
     out = sums.join(reps, ["size", "hi", "lo"], "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     if names is None:

@@ -116,6 +116,64 @@ def test_columns_of_one_batch_go_once_and_of_others_are_counted():
     assert shared.tolist() == [sum(held[x] > 1 for x in s.tolist()) for s in sets]
 
 
+def test_phrases_of_several_documents_do_not_join_clusters(make, monkeypatch):
+    rng = np.random.default_rng(8)
+    phrases = [" ".join(f"p{k}x{j}" for j in range(5)) for k in range(30)]
+    rows = []
+    for g in range(40):
+        text = [f"g{g}w{j}" for j in range(120)]
+        for at, k in enumerate(rng.choice(30, 5, replace=False)):
+            text.insert(20 * at, phrases[k])
+        rows += [(2 * g, " ".join(text)), (2 * g + 1, " ".join([*text[:-1], "end"]))]
+    found, materialize = {}, jaccard.materialize
+
+    def kept(df, name):
+        out = materialize(df, name)
+        if name == "jaccard-clusters":
+            found.update((r["cluster"], r["count"]) for r in out.groupBy("cluster").count().collect())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", kept)
+    assert got(jaccard.near_duplicates(make(rows))) == expected(rows)
+    assert sorted(found.values()) == [2] * 40
+
+
+def test_waves_copy_a_row_a_bounded_number_of_times(make, monkeypatch):
+    rows, tables, materialize = near_copies(3, groups=2, n=120), [], jaccard.materialize
+
+    def kept(df, name):
+        tables.append(name)
+        return materialize(df, name)
+
+    monkeypatch.setattr(jaccard, "materialize", kept)
+    assert got(jaccard.near_duplicates(make(rows), cluster_shingles=800, copies=2)) == expected(rows)
+    assert tables.count("jaccard-links") > 2
+
+
+def test_levels_keep_the_order_of_counts():
+    levels = jaccard.levels_of(np.arange(1, 100_000))
+    assert levels[:128].tolist() == list(range(1, 129))
+    assert (np.diff(levels.astype(int)) >= 0).all()
+    assert jaccard.levels_of(np.array([1 << 40])).tolist() == [255]
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    import time
+
+    from motolake.llm.common import materialize
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in files.splitlines() if "shuffle_" in x}
+
+    before = shuffles()
+    materialize(spark.range(10_000).repartition(7, "id"), "shuffled")
+    end = time.time() + 20
+    while (left := shuffles() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+
+
 def test_product_equals_pairs():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.choice(60, rng.integers(1, 40))).astype(np.uint64) for _ in range(60)]
