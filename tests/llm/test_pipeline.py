@@ -91,3 +91,18 @@ def test_empty_documents(spark, make, tmp_path):
     make([]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_leave_no_large_table_behind(spark, make):
+    import os
+
+    from motolake.llm.common import scratch_dir
+
+    folder = f"{scratch_dir(spark)}/motolake".removeprefix("file://")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    text = [f"w{j}" for j in range(60)]
+    docs = make([(1, " ".join(text)), (2, " ".join([*text[:-1], "end"])), (3, "a b c d e f g")], clashes=False)
+    out = cp.one_of_each_group(spark, docs, "")
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3]
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    assert left <= {"jaccard-sizes", "jaccard-classes", "links"}
