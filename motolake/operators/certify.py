@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motolake.functions.geometry import clip
-from motolake.operators.stats import renormalised
+from motolake.operators.stats import exact_mean, renormalised
 from motolake.settings import DEFAULT, Settings
 
 
@@ -59,7 +59,7 @@ def mistakes(frames: DataFrame, keys: list[str], t: str, confidence: str, s: Set
     """Windows from the first time on whose mean confidence is under the floor: window, start and end second, mean, flag."""
     known = frames.filter(F.col(confidence).isNotNull()).withColumn("_t0", F.min(t).over(Window.partitionBy(*keys)))
     w = s.mistake_window_s
-    grouped = known.withColumn("window", F.floor((F.col(t) - F.col("_t0")) / w)).groupBy(*keys, "window").agg(F.avg(confidence).alias("mean"))
+    grouped = known.withColumn("window", F.floor((F.col(t) - F.col("_t0")) / w)).groupBy(*keys, "window").agg(exact_mean(confidence).alias("mean"))
     text = F.format_string("low_confidence@%.0fs-%.0fs(mean %.2f)", F.col("window") * w, (F.col("window") + 1) * w, F.col("mean"))
     return grouped.filter(F.col("mean") < s.mistake_floor).withColumn("start_s", F.col("window") * w).withColumn("flag", text)
 

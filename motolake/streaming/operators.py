@@ -11,13 +11,14 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from motolake.operators.stats import exact_mean
 from motolake.settings import DEFAULT, Settings
 
 
 def tumbling(df: DataFrame, ts: str, keys: list[str], value: str, width: str = "1 second", late: str = "10 seconds") -> DataFrame:
     """Mean and number per window and key."""
     w = F.window(ts, width)
-    return df.withWatermark(ts, late).groupBy(w, *keys).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n")).select(*keys, F.col("window.start").alias("start"), F.col("window.end").alias("end"), "mean", "n")
+    return df.withWatermark(ts, late).groupBy(w, *keys).agg(exact_mean(value).alias("mean"), F.count(F.lit(1)).alias("n")).select(*keys, F.col("window.start").alias("start"), F.col("window.end").alias("end"), "mean", "n")
 
 
 def low_windows(df: DataFrame, ts: str, keys: list[str], value: str, s: Settings = DEFAULT, late: str = "10 seconds") -> DataFrame:

@@ -67,6 +67,18 @@ def test_mistakes_and_speed(spark):
     assert certify.speed(df.limit(1), ["k"], "t").first()["speed"] is None
 
 
+def test_mistakes_do_not_depend_on_the_order_of_rows(spark):
+    # three values with a mean of 20 whose sum as doubles is below 60 in every order, next to one that is lower
+    groups = {"a": [37.41, 17.08, 5.51], "b": [10.94, 32.23, 16.83], "c": [9.94, 17.4, 32.66], "low": [10.94, 32.23, 16.82], "large": [1e300, 1e10, 1.0], "odd": [1.0, float("nan"), 2.0], "minus": [float("-inf"), 1.0]}
+    assert all(sum(groups[k]) / 3 < 20 for k in "abc")
+    rows = [(k, float(i) / 10, v) for k, values in groups.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k string, t double, c double")
+    out = {r["k"]: r["mean"] for r in certify.mistakes(df, ["k"], "t", "c", Settings(mistake_floor=20.0)).collect()}
+    assert out == {"low": 59.99 / 3, "minus": float("-inf")}
+    same = spark.createDataFrame([("e", i / 10, 0.4) for i in range(3)], "k string, t double, c double")
+    assert certify.mistakes(same, ["k"], "t", "c").count() == 0
+
+
 def test_eis_bounds(spark):
     df = spark.createDataFrame([(0.0, 200.0, 1.0, 1.0, True), (99.0, 0.0, 0.0, 0.0, False)], "d double, b double, p double, l double, c boolean")
     out = eis.score(df, eis.components(F.col("d"), F.col("b"), F.col("p"), F.col("l"), F.col("c"), F.lit(3), F.lit(3))).orderBy("d").collect()
