@@ -17,10 +17,12 @@ hashes. Two documents link when their Jaccard similarity is at least ``percent``
    whose size can link, until all rows not yet taken are in one component: links inside a component need
    no look. Pairs below the overlap that their sizes ask for are discarded. Clusters of more
    shingles than ``cluster_shingles`` are cut into blocks of rows, and each pair of blocks is a task; a
-   wave of tasks copies each row ``copies`` times at most, and is over before the next one starts.
+   wave of tasks copies each row ``copies`` times at most, fewer if that is more text than all documents
+   have (but 2), and is over before the next one starts.
 5. Components of the links found are those of all links.
 
-Every step's tasks have bounded numbers of shingles, and nothing that grows is sent to all tasks.
+Every step's tasks have bounded numbers of shingles, and nothing that grows is sent to all tasks. Stored are
+texts, of which tasks make the sets again: their hashes would take twice the disk of the compressed texts.
 
 Null texts and texts without words have an empty set and link with nothing. Rows whose id is null or
 stands in several rows are documents of their own, with their own set and links; a component's id is the
@@ -111,8 +113,43 @@ class Announced:
         return fresh
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes each as the largest needs, which the first byte tells."""
+    most = int(values.max()) if len(values) else 0
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def wide(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int64)
+
+
+def gaps(rows: np.ndarray) -> bytes:
+    """Ascending row numbers: a byte each, however many blocks a document's columns are dealt to."""
+    return narrow(np.diff(rows, prepend=0))
+
+
+def from_gaps(blob: bytes) -> np.ndarray:
+    return np.cumsum(wide(blob))
+
+
+def pieces(values: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+    """values cut into runs of these lengths."""
+    ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    return [values[e - n : e] for e, n in zip(ends, lengths, strict=True)]
+
+
 def split_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, batch: int, prints: list[bytes] | None = None, announced: Announced | None = None) -> list[tuple[int, bytes, bytes, bytes, bytes, bytes, int]]:
-    """(part, ids, counts, keys, several, documents, batch) of each block of columns.
+    """(part, ids, counts, keys, several, documents, batch) of each block of columns, as split_rows gives them."""
+    out = []
+    for p, rows, keys, several, documents, number in split_rows(ids, sets, parts, batch, prints, announced):
+        here, counts = np.unique(from_gaps(rows), return_counts=True)
+        out.append((p, ids[here].astype("<i8").tobytes(), counts.astype("<i4").tobytes(), keys, several, documents, number))
+    return out
+
+
+def split_rows(ids: np.ndarray, sets: list[np.ndarray], parts: int, batch: int, prints: list[bytes] | None = None, announced: Announced | None = None) -> list[tuple[int, bytes, bytes, bytes, bytes, int]]:
+    """(part, rows, keys, several, documents, batch) of each block of columns; rows are places in the batch, one for each key.
 
     A column that several documents of the batch have is shared whatever other batches hold, so it is not
     sent a document: it goes once, with their number, and with ``announced`` only once a task. What the
@@ -148,16 +185,27 @@ def split_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, batch: in
         c, d = ends[p], ends[p + 1]
         if a == b and c == d and p != home:
             continue
-        here, counts = np.unique(row[a:b], return_counts=True)
         both = np.zeros(d - c, SEVERAL)
         both["key"], both["n"] = several[c:d] >> np.uint64(32), many[c:d]
-        out.append((p, ids[here].astype("<i8").tobytes(), counts.astype("<i4").tobytes(), (tokens[a:b] >> np.uint64(32)).astype("<u4").tobytes(), both.tobytes(), about.tobytes() if p == home else b"", batch))
+        out.append((p, gaps(row[a:b]), (tokens[a:b] >> np.uint64(32)).astype("<u4").tobytes(), both.tobytes(), about.tobytes() if p == home else b"", batch))
     return out
 
 
 COLUMNS = "part int, ids binary, counts binary, keys binary, several binary, documents binary, batch long"
 
 
+ROWS = "part int, rows binary, keys binary, several binary, documents binary, batch long"
+
+
+def arrow_rows(rows: list[tuple], schema: str):
+    """Tuples as an Arrow batch of a schema of numbers and bytes."""
+    import pyarrow as pa
+
+    names = [x.split() for x in schema.split(", ")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(names)], [n for n, _ in names])
+
+
 def record(rows: list[tuple]):
     import pyarrow as pa
 
@@ -191,25 +239,21 @@ def column_heights(keys: np.ndarray, number: np.ndarray) -> np.ndarray:
 
 
 def count_shared(columns: DataFrame, parts: int) -> DataFrame:
-    """Replies of blocks of columns to batches: batch, ids, shared (how many of a document's columns that its batch holds once other batches hold too), documents."""
+    """Replies of blocks of columns to batches: batch, rows (the documents of columns that their batch holds once and other batches hold too), documents."""
 
     def run(table):
         import pyarrow as pa
 
         begin(__name__)
-        id_blobs = table.column("ids").to_pylist()
-        counts, keys, several = from_buffers(table.column("counts"), "<i4"), from_buffers(table.column("keys"), "<u4"), from_buffers(table.column("several"), SEVERAL)
-        row = np.repeat(np.arange(len(counts)), counts)
+        row_blobs, key_blobs = table.column("rows").to_pylist(), table.column("keys").to_pylist()
+        keys, several = np.frombuffer(b"".join(key_blobs), "<u4"), from_buffers(table.column("several"), SEVERAL)
         every = np.concatenate([keys, several["key"]])
         number = np.concatenate([np.ones(len(keys), np.int64), several["n"].astype(np.int64)])
-        of_each = column_heights(every, number)
-        shared = np.bincount(row, of_each[: len(keys)] > 1, len(counts)).astype("<i4")
-        ends = np.cumsum([len(x) // 8 for x in id_blobs])
-        batch, out = table.column("batch").to_pylist(), [shared[e - len(x) // 8 : e].tobytes() for e, x in zip(ends.tolist(), id_blobs, strict=True)]
-        documents = table.column("documents").to_pylist()
-        return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array(id_blobs, pa.binary()), "shared": pa.array(out, pa.binary()), "documents": pa.array(documents, pa.binary())})
+        shared = pieces(column_heights(every, number)[: len(keys)] > 1, [len(x) // 4 for x in key_blobs])
+        out = [gaps(from_gaps(x)[on]) for x, on in zip(row_blobs, shared, strict=True)]
+        return pa.table({"batch": table.column("batch"), "rows": pa.array(out, pa.binary()), "documents": table.column("documents")})
 
-    return dealt(columns, parts).groupBy("part").applyInArrow(run, "batch long, ids binary, shared binary, documents binary")
+    return dealt(columns, parts).groupBy("part").applyInArrow(run, "batch long, rows binary, documents binary")
 
 
 def add_shared(replies: DataFrame, parts: int) -> DataFrame:
@@ -219,17 +263,18 @@ def add_shared(replies: DataFrame, parts: int) -> DataFrame:
         import pyarrow as pa
 
         begin(__name__)
-        ids, shared = from_buffers(table.column("ids"), "<i8"), from_buffers(table.column("shared"), "<i4")
-        about = np.sort(from_buffers(table.column("documents"), DOCUMENT), order="id")
-        total = about["local"] + np.bincount(np.searchsorted(about["id"], ids), shared, len(about)).astype(np.int64)
+        rows = np.concatenate([from_gaps(x) for x in table.column("rows").to_pylist()])
+        about = from_buffers(table.column("documents"), DOCUMENT)
+        total = about["local"] + np.bincount(rows, minlength=len(about))
         return pa.table({"doc_id": pa.array(about["id"]), "shared": pa.array(total), "size": pa.array(about["n"].astype(np.int64)), "hi": pa.array(about["hi"]), "lo": pa.array(about["lo"])})
 
     return replies.repartition(parts, "batch").groupBy("batch").applyInArrow(run, "doc_id long, shared long, size long, hi long, lo long")
 
 
 # ---------------------------------------------------------------- prefixes
-COUNTS = "part int, batch long, keys binary, counts binary"
-LEVELS = "batch long, part int, keys binary, levels binary"
+COUNTS = "part int, batch long, piece long, keys binary, counts binary, ids binary"
+LEVELS = "part int, batch long, piece long, levels binary, ids binary"
+KEPT = "doc_id long, size long, prefix binary"
 
 
 def levels_of(height: np.ndarray) -> np.ndarray:
@@ -237,28 +282,34 @@ def levels_of(height: np.ndarray) -> np.ndarray:
     return np.minimum(np.where(height <= 128, height, 128 + 8 * np.log2(np.maximum(height, 128) / 128)), 255).astype(np.uint8)
 
 
-def count_columns(tokens: np.ndarray, parts: int, batch: int) -> list[tuple[int, int, bytes, bytes]]:
-    """(part, batch, keys, counts) of each block of columns that the sets of a batch, one after another, have."""
-    distinct, counts = np.unique(tokens, return_counts=True)
+def columns_in_order(sets: list[np.ndarray], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Distinct columns of sets, in how many of them each is, their order by block, and the bounds of the blocks in that order."""
+    distinct, counts = np.unique(np.concatenate(sets), return_counts=True)
     part = (distinct % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
-    keys, counts = (distinct[order] >> np.uint64(32)).astype("<u4"), counts[order].astype("<u4")
-    return [(p, batch, keys[a:b].tobytes(), counts[a:b].tobytes()) for p, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
+    return distinct, counts, order, np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+
+
+def count_columns(ids: np.ndarray, sets: list[np.ndarray], parts: int, batch: int) -> list[tuple[int, int, int, bytes, bytes, bytes]]:
+    """(part, batch, piece, keys, counts, ids) of each block of columns that these sets, a piece of a batch named by its first id, have. The first block gets the ids, whose order the levels of the reply follow."""
+    distinct, counts, order, ends = columns_in_order(sets, parts)
+    keys, counts = (distinct[order] >> np.uint64(32)).astype("<u4"), counts[order]
+    out = [(p, batch, int(ids[0]), keys[a:b].tobytes(), narrow(counts[a:b]), b"") for p, (a, b) in enumerate(itertools.pairwise(ends)) if a < b]
+    return [(*out[0][:-1], ids.astype("<i8").tobytes()), *out[1:]]
 
 
 def column_levels(columns: DataFrame, parts: int) -> DataFrame:
-    """Replies of blocks of columns to batches: the level of each key that a batch has sent."""
+    """Replies of blocks of columns to batches: the level of each key that a piece has sent, in its order."""
 
     def run(table):
         import pyarrow as pa
 
         begin(__name__)
         blobs = table.column("keys").to_pylist()
-        level = levels_of(column_heights(from_buffers(table.column("keys"), "<u4"), from_buffers(table.column("counts"), "<u4").astype(np.int64)))
-        ends = np.cumsum([len(x) // 4 for x in blobs]).tolist()
-        replies = [level[e - len(x) // 4 : e].tobytes() for e, x in zip(ends, blobs, strict=True)]
-        return pa.table({"batch": table.column("batch"), "part": table.column("part"), "keys": pa.array(blobs, pa.binary()), "levels": pa.array(replies, pa.binary())})
+        number = np.concatenate([wide(x) for x in table.column("counts").to_pylist()])
+        level = levels_of(column_heights(np.frombuffer(b"".join(blobs), "<u4"), number))
+        replies = [x.tobytes() for x in pieces(level, [len(x) // 4 for x in blobs])]
+        return pa.table({"part": table.column("part"), "batch": table.column("batch"), "piece": table.column("piece"), "levels": pa.array(replies, pa.binary()), "ids": table.column("ids")})
 
     return dealt(columns, parts).groupBy("part").applyInArrow(run, LEVELS)
 
@@ -272,31 +323,39 @@ def prefix_of(tokens: np.ndarray, level: np.ndarray, percent: int) -> np.ndarray
     return tokens[order[level[order] > 1]]
 
 
-def kept_sets(sets: DataFrame, levels: DataFrame, parts: int, percent: int) -> DataFrame:
-    """doc_id, size, shingles, prefix of the sets (doc_id, batch, shingles) that can link."""
+def sets_of(texts) -> list[np.ndarray]:
+    """Sets of a column of texts."""
+    ids = np.arange(len(texts))
+    return [s for _, sets in batches_of(texts, ids) for s in sets]
+
+
+def kept_sets(texts: DataFrame, levels: DataFrame, parts: int, percent: int) -> DataFrame:
+    """doc_id, size, prefix of the documents (doc_id, batch, text) whose sets can link."""
 
     def run(left, right):
         import pyarrow as pa
 
         begin(__name__)
-        ids, blobs = left.column("doc_id").to_pylist(), left.column("shingles").to_pylist()
-        key = from_buffers(right.column("keys"), "<u4").astype(np.uint64)
-        part = np.repeat(right.column("part").to_numpy().astype(np.uint64), [len(x) // 4 for x in right.column("keys").to_pylist()])
-        code, level = part << np.uint64(32) | key, from_buffers(right.column("levels"), np.uint8)
-        order = np.argsort(code)
-        code, level = code[order], level[order]
+        sets = dict(zip(left.column("doc_id").to_pylist(), sets_of(left.column("text")), strict=True))
+        replies: dict[int, list[tuple[int, bytes]]] = {}
+        ids: dict[int, list[int]] = {}
+        for part, piece, level, blob in zip(*(right.column(x).to_pylist() for x in ("part", "piece", "levels", "ids")), strict=True):
+            replies.setdefault(piece, []).append((part, level))
+            if blob:
+                ids[piece] = np.frombuffer(blob, "<i8").tolist()
         out = []
-        for doc, blob in zip(ids, blobs, strict=True):
-            tokens = np.frombuffer(blob, "<u8")
-            at = np.searchsorted(code, tokens % np.uint64(parts) << np.uint64(32) | tokens >> np.uint64(32))
-            prefix = prefix_of(tokens, level[at], percent)
-            if prefix is not None:
-                out.append((doc, len(tokens), blob, prefix.astype("<u8").tobytes()))
-        kinds = {"doc_id": pa.int64(), "size": pa.int64(), "shingles": pa.binary(), "prefix": pa.binary()}
-        return pa.table({name: pa.array([r[i] for r in out], kind) for i, (name, kind) in enumerate(kinds.items())})
+        for piece, got in replies.items():
+            distinct, _, order, _ = columns_in_order([sets[i] for i in ids[piece]], parts)
+            level = np.empty(len(distinct), np.uint8)
+            level[order] = np.frombuffer(b"".join(x for _, x in sorted(got)), np.uint8)
+            for i in ids[piece]:
+                prefix = prefix_of(sets[i], level[np.searchsorted(distinct, sets[i])], percent)
+                if prefix is not None:
+                    out.append((i, len(sets[i]), prefix.astype("<u8").tobytes()))
+        return pa.Table.from_batches([arrow_rows(out, KEPT)])
 
-    both = (x.repartition(parts, "batch").groupBy("batch") for x in (sets, levels))
-    return next(both).cogroup(next(both)).applyInArrow(run, "doc_id long, size long, shingles binary, prefix binary")
+    both = (x.repartition(parts, "batch").groupBy("batch") for x in (texts, levels))
+    return next(both).cogroup(next(both)).applyInArrow(run, KEPT)
 
 
 # ---------------------------------------------------------------- product
@@ -369,7 +428,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         weight, numbers, announced = 0, batch_numbers(), Announced()
 
         def out():
-            return record(split_columns(np.array([h[0] for h in held], np.int64), [h[1] for h in held], parts, next(numbers), [h[2] for h in held], announced))
+            return arrow_rows(split_rows(np.array([h[0] for h in held], np.int64), [h[1] for h in held], parts, next(numbers), [h[2] for h in held], announced), ROWS)
 
         for batch in batches:
             for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
@@ -382,45 +441,43 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if held:
             yield out()
 
-    sums = materialize(add_shared(count_shared(docs.mapInArrow(columns_of_texts, COLUMNS), parts), parts), "jaccard-sizes")
+    sums = materialize(add_shared(count_shared(docs.mapInArrow(columns_of_texts, ROWS), parts), parts), "jaccard-sizes")
     enough = (F.col("shared") * 100 >= F.col("size") * percent) & (F.col("size") > 0)
+    words = sums.agg(F.sum("size")).first()[0] or 0
     classes = sums.filter(enough).groupBy("size", "hi", "lo").agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "jaccard-classes")
 
-    def sets_of_texts(batches):
+    def numbered(batches):
         import pyarrow as pa
 
-        begin(__name__)
         numbers = batch_numbers()
         number, weight = next(numbers), 0
         for batch in batches:
-            for ids, sets in batches_of(batch.column(1), batch.column(0).to_numpy(zero_copy_only=False)):
-                mine = []
-                for s in sets:
-                    if weight > 1 << 19:
-                        number, weight = next(numbers), 0
-                    mine.append(number)
-                    weight += len(s) + 8
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(mine, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["doc_id", "batch", "size", "shingles"])
-
-    reps = docs.repartition(parts, "doc_id").join(classes.select(F.col("rep").alias("doc_id")).repartition(parts, "doc_id").hint("shuffle_hash"), "doc_id")
-    sets = materialize(reps.select("doc_id", "text").mapInArrow(sets_of_texts, "doc_id long, batch long, size long, shingles binary"), "jaccard-sets")
-    total = sets.agg(F.sum("size")).first()[0] or 0
+            mine = []
+            for n in batch.column("size").to_pylist():
+                if weight > 1 << 19:
+                    number, weight = next(numbers), 0
+                mine.append(number)
+                weight += n + 8
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(mine, pa.int64()), batch.column("size"), batch.column("text")], ["doc_id", "batch", "size", "text"])
+
+    # texts are stored and their sets made again where they are used: hashes take twice the disk of the compressed text
+    reps = docs.repartition(parts, "doc_id").join(classes.select(F.col("rep").alias("doc_id"), "size").repartition(parts, "doc_id").hint("shuffle_hash"), "doc_id")
+    texts = materialize(reps.select("doc_id", "size", "text").mapInArrow(numbered, "doc_id long, batch long, size long, text string"), "jaccard-texts")
+    total = texts.agg(F.sum("size")).first()[0] or 0
     parts = max(8, wanted_parts(8 * total, block_bytes))
 
     def columns_of_sets(batches):
-        import pyarrow as pa
-
         begin(__name__)
         for batch in batches:
-            numbers, blobs = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            ids, numbers, sets = batch.column(0).to_numpy(), batch.column(1).to_numpy(), sets_of(batch.column(2))
             for number in np.unique(numbers).tolist():
-                rows = count_columns(np.frombuffer(b"".join(blobs[i] for i in np.flatnonzero(numbers == number)), "<u8"), parts, number)
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))], ["part", "batch", "keys", "counts"])
+                on = np.flatnonzero(numbers == number)
+                yield arrow_rows(count_columns(ids[on], [sets[i] for i in on], parts, number), COUNTS)
 
-    levels = column_levels(sets.select("batch", "shingles").mapInArrow(columns_of_sets, COUNTS), parts)
-    kept = materialize(kept_sets(sets.select("doc_id", "batch", "shingles"), levels, parts, percent), "jaccard-kept")
-    release(sets)
+    levels = materialize(column_levels(texts.select("doc_id", "batch", "text").mapInArrow(columns_of_sets, COUNTS), parts), "jaccard-levels")
+    kept = materialize(kept_sets(texts.select("doc_id", "batch", "text"), levels, parts, percent), "jaccard-kept")
+    release(levels)
 
     def prefixes(batches):
         begin(__name__)
@@ -456,15 +513,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     stars = dealt(kept.select("doc_id", "size", "prefix").mapInArrow(prefixes, COLUMNS), parts).groupBy("part").applyInArrow(star, "a long, b long")
     clusters = connected_components(stars)
-    inside = clustered = materialize(kept.drop("prefix").join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"), "jaccard-clusters")
+    placed = materialize(kept.drop("prefix").join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"), "jaccard-placed")
     release(kept)
+    inside = clustered = materialize(placed.join(texts.select("doc_id", "text"), "doc_id"), "jaccard-clusters")
+    for done in (placed, texts):
+        release(done)
     weights = inside.groupBy("cluster").agg(F.sum("size").alias("weight"))
     bins = wanted_parts(inside.agg(F.sum("size")).first()[0] or 0, max(1, cluster_shingles // 8))
     heavy = materialize(weights.filter(F.col("weight") > cluster_shingles).select("cluster", F.ceil(F.col("weight") * 2 / cluster_shingles).cast("int").alias("blocks")), "jaccard-heavy")
     # a heavy cluster is a hot key of this join; each holds over cluster_shingles of all shingles, so they are few, and beyond that Spark splits the key
     inside = inside.join(F.broadcast(heavy) if heavy.count() <= 100_000 else heavy, "cluster", "left")
     light = inside.filter("blocks is null").withColumn("task", F.concat(F.lit("b"), F.pmod(F.xxhash64("cluster"), F.lit(bins))))
-    most, step = heavy.agg(F.max("blocks")).first()[0] or 0, max(1, copies // 2)
+    most, cut_shingles = heavy.join(weights, "cluster").agg(F.max("blocks"), F.sum("weight")).first()
+    # a shingle stands for a word; the copies of a wave hold no more text than the documents do, or two copies if all are in large clusters
+    most, step = most or 0, max(1, min(copies, words // max(1, cut_shingles or 0)) // 2)
 
     def wave(k: int) -> DataFrame:
         """Tasks of the pairs of blocks that lie k * step to (k + 1) * step - 1 apart on the ring of a cluster's blocks."""
@@ -479,13 +541,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
         begin(__name__)
         cluster, doc = table.column("cluster").to_numpy(), table.column("doc_id").to_numpy()
-        blobs = table.column("shingles").to_pylist()
+        sets = sets_of(table.column("text"))
         order = np.lexsort((doc, cluster))
         bounds = np.flatnonzero(np.diff(cluster[order], prepend=cluster[order[:1]] - 1))
         a, b = [], []
         for x, y in zip(bounds, [*bounds[1:], len(order)], strict=True):
             own = order[x:y]
-            label = product_components([np.frombuffer(blobs[i], "<u8") for i in own], percent)
+            label = product_components([sets[i] for i in own], percent)
             joined_to = own[label]
             on = joined_to != own
             a.append(doc[own[on]])
@@ -493,7 +555,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
 
     def links_of(tasks: DataFrame) -> DataFrame:
-        return tasks.select("task", "cluster", "doc_id", "shingles").groupBy("task").applyInArrow(multiply, "a long, b long")
+        return tasks.select("task", "cluster", "doc_id", "text").groupBy("task").applyInArrow(multiply, "a long, b long")
 
     found = [materialize(links_of(light.unionByName(wave(0)) if k == 0 else wave(k)), "jaccard-links") for k in range(most // 2 // step + 1)]
     components = connected_components(functools.reduce(DataFrame.unionByName, found))

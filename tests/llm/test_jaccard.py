@@ -1,5 +1,6 @@
 import re
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -150,6 +151,43 @@ def test_waves_copy_a_row_a_bounded_number_of_times(make, monkeypatch):
     assert tables.count("jaccard-links") > 2
 
 
+def test_scratch_tables_of_near_copies_stay_near_the_size_of_their_texts(make, monkeypatch):
+    rng = np.random.default_rng(12)
+    words = np.array([f"w{i}" for i in range(3000)])
+    rows = []
+    for g in range(40):
+        text = list(rng.choice(words, 500))
+        for c in range(5):
+            text[int(rng.integers(500))] = f"copy{c}"
+            rows.append((5 * g + c, " ".join(text)))
+    docs, size = make(rows, clashes=False), sum(len(t) for _, t in rows)
+    tables, most, materialize, release = {}, [0], jaccard.materialize, jaccard.release
+
+    def kept(df, name):
+        out = materialize(df, name)
+        tables[out.scratch] = sum(x.stat().st_size for x in Path(out.scratch.removeprefix("file://")).glob("*.parquet"))
+        most[0] = max(most[0], sum(tables.values()))
+        return out
+
+    def gone(df):
+        tables.pop(df.scratch, None)
+        release(df)
+
+    monkeypatch.setattr(jaccard, "materialize", kept)
+    monkeypatch.setattr(jaccard, "release", gone)
+    out = jaccard.near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in out) == [(i, i - i % 5) for i in range(200)]
+    assert most[0] < 2.5 * size
+
+
+def test_more_blocks_of_columns_send_no_more_bytes():
+    rng = np.random.default_rng(13)
+    sets = [np.unique(rng.integers(0, 1 << 63, 500, dtype=np.uint64)) for _ in range(60)]
+    few, many = (sum(len(x) for r in jaccard.split_rows(np.arange(60), sets, parts, 0) for x in r if isinstance(x, bytes)) for parts in (8, 1024))
+    assert many < 1.1 * few < 1.1 * 60 * 500 * 5.2
+    assert jaccard.from_gaps(jaccard.gaps(np.array([0, 0, 3, 70_000]))).tolist() == [0, 0, 3, 70_000]
+
+
 def test_levels_keep_the_order_of_counts():
     levels = jaccard.levels_of(np.arange(1, 100_000))
     assert levels[:128].tolist() == list(range(1, 129))
